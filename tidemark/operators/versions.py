@@ -54,18 +54,31 @@ def hash_anti_join(
     return batch.join(seen, same, "left_anti")
 
 
-def next_load_id(target: DataFrame, fallback: DataFrame, load_col: str = LOAD_COLUMN, fallback_col: str | None = None) -> DataFrame:
+def next_load_id(
+    target: DataFrame, fallback: DataFrame, load_col: str = LOAD_COLUMN, fallback_col: str | None = None
+) -> DataFrame:
     """One row `next_load_id`: one above the highest load id of `target`, or of `fallback` while `target` has none.
 
-    Two plain maxima; with neither there, the first id is 1.
+    One aggregation over both, so nothing but two maxima per task is moved. With neither, the id is 1.
     """
-    own = target.agg(F.max(load_col).cast("bigint").alias("_own"))
-    other = fallback.agg(F.max(fallback_col or load_col).cast("bigint").alias("_other"))
-    # Both sides are one row, so joining them on a constant moves two values.
-    highest = own.withColumn("_k", F.lit(1)).join(other.withColumn("_k", F.lit(1)), "_k")
+    own = target.select(F.col(load_col).cast("bigint").alias("_own"))
+    other = fallback.select(F.col(fallback_col or load_col).cast("bigint").alias("_other"))
+    highest = own.unionByName(other, allowMissingColumns=True).agg(
+        F.max("_own").alias("_own"), F.max("_other").alias("_other")
+    )
     return highest.select((F.coalesce("_own", "_other", F.lit(0)) + 1).alias("next_load_id"))
 
 
 def without_load(df: DataFrame, load_id: int, load_col: str = LOAD_COLUMN) -> DataFrame:
     """All rows but those of one load; rows without a load id stay."""
     return df.where(~F.col(load_col).eqNullSafe(F.lit(load_id)))
+
+
+def mark_new(
+    batch: DataFrame, latest: DataFrame, hash_col: str = HASH_COLUMN, out_col: str = "is_new"
+) -> DataFrame:
+    """Every row of `batch` with a flag that is true where `hash_anti_join` would keep it."""
+    seen = latest.select(F.col(hash_col).alias("_seen"), F.lit(True).alias("_known")).distinct()
+    return batch.join(seen, batch[hash_col].eqNullSafe(seen["_seen"]), "left").select(
+        *[batch[c] for c in batch.columns], F.col("_known").isNull().alias(out_col)
+    )
