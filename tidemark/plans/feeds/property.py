@@ -41,7 +41,7 @@ def units_feed(property_index: DataFrame, building: DataFrame, area: DataFrame)
         col("Address Line2").alias("GEOADDRESS3"),
         col("Street").alias("GEOTOWN"),
         col("Postcode").alias("GEOPOSTCODE"),
-        isnull_default(col("Bedrooms").cast("string")).alias("NO_OF_BEDROOMS"),
+        isnull_default(col("Bedrooms"), property_index.schema["Bedrooms"].dataType.simpleString()).alias("NO_OF_BEDROOMS"),
         decode_like(col("Property Status"), OCCUPANCY_CODES, UNKNOWN_CODE).alias("OCCUPANCY_STATUS"),
         decode(col("Floor"), FLOOR_CODES, UNKNOWN_CODE).alias("FLOOR_LEVEL"),
         col("Comments").alias("ANY_OTHER_INFORMATION"),
