@@ -11,13 +11,9 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Month names, and the text of `DD-MON-RRRR HH:MI:SS` (time part optional).
+# Month names, and the form `DD-MON-RRRR HH:MI:SS` with a four-digit year, time part optional.
 MONTHS = ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"]
-MONTHS_LONG = [
-    "JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE",
-    "JULY", "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER",
-]
-DAY_MONTH_NAME = r"^\s*(\d{1,2})-([A-Za-z]+)-(\d{4}|\d{2})(?:\s+(\d{1,2}):(\d{1,2}):(\d{1,2}))?\s*$"
+DAY_MONTH_NAME = r"^(\d{1,2})-([A-Z]{3})-(\d{4})(?: +((?:0?[1-9]|1[0-2]):\d{1,2}:\d{1,2}))?$"
 
 VALID_DAYS_BACK = 1
 VALID_MONTHS_AHEAD = 100
@@ -39,38 +35,27 @@ def validity_window(as_of: Column) -> tuple[Column, Column]:
 def parse_oracle_date(col: Column, *, current_year: int = 2000, strict: bool = False) -> Column:
     """Text in the form `DD-MON-RRRR HH:MI:SS` as a timestamp.
 
-    The hour runs from 1 to 12 and is taken as a.m., so 12 is midnight. A two-digit year is put in the
-    century of `current_year` or its neighbour, whichever the rule of fifty gives: 00-49 means
-    the current century (the next, if the current year is in its second half), and 50-99 the previous
-    one (the current, if in its second half). Text that is no such date gives NULL, or an error with
-    `strict`.
+    The hour runs from 1 to 12 and is taken as a.m., so 12 is midnight; without a time part it is
+    midnight too. A two-digit year is put in the century of `current_year` or its neighbour,
+    whichever the rule of fifty gives: 00-49 means the current century (the next, if the current year
+    is in its second half), and 50-99 the previous one (the current, if in its second half). Text
+    that is no such date gives NULL, or an error with `strict`.
+
+    The text is rewritten as an ISO timestamp and cast. That keeps the expression small: a view with
+    several dates still compiles to code the JVM optimises.
     """
-    part = lambda i: F.regexp_extract(col, DAY_MONTH_NAME, i)
-    number = lambda i: part(i).try_cast("int")
-
-    name = F.upper(part(2))
-    short = F.array_position(F.array(*map(F.lit, MONTHS)), name)
-    full = F.array_position(F.array(*map(F.lit, MONTHS_LONG)), name)
-    month = F.greatest(short, full).cast("int")
-
-    century = current_year // 100 * 100
-    second_half = current_year % 100 >= 50
-    low_century = century + 100 if second_half else century
-    high_century = century if second_half else century - 100
-    two_digits = number(3)
-    year = (
-        F.when(F.length(part(3)) == 4, two_digits)
-        .when(two_digits < 50, two_digits + low_century)
-        .otherwise(two_digits + high_century)
-    )
-
-    has_time = part(4) != ""
-    hour = F.when(~has_time, F.lit(0)).when(number(4).between(1, 12), number(4) % 12)
-    minute = F.when(has_time, number(5)).otherwise(F.lit(0))
-    # Without this bound, a second of 60 would roll over into the next minute.
-    second = F.when(has_time, F.when(number(6) < 60, number(6))).otherwise(F.lit(0))
-
-    parsed = F.try_make_timestamp_ntz(year, month, number(1), hour, minute, second.cast("decimal(8,6)"))
+    century = current_year // 100
+    low, high = (century + 1, century) if current_year % 100 >= 50 else (century, century - 1)
+
+    text = F.upper(F.trim(col))
+    text = F.regexp_replace(text, r"(?<=-)(?=[0-4]\d(?: |$))", str(low))
+    text = F.regexp_replace(text, r"(?<=-)(?=[5-9]\d(?: |$))", str(high))
+    # Year first, the month name marked by small letters, which no text has that does not match.
+    turned = F.regexp_replace(text, DAY_MONTH_NAME, "$3m$2m$1 $4")
+    month = F.array_position(F.array(*[F.lit(f"m{name}m") for name in MONTHS]), F.substring(turned, 5, 5))
+    midnight = F.replace(turned, F.lit(" 12:"), F.lit(" 00:"))
+    number = F.concat(F.lit("-"), month.cast("string"), F.lit("-"))
+    parsed = F.overlay(midnight, number, F.lit(5), F.lit(5)).try_cast("timestamp_ntz")
     if strict:
         bad = parsed.isNull() & col.isNotNull()
         message = F.concat(F.lit("not a date of the form DD-MON-RRRR HH:MI:SS: "), col)

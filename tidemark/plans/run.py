@@ -29,6 +29,7 @@ def _run_one(
     read: Callable[[FeedSpec], DataFrame],
     target: Callable[[FeedSpec], Target],
     load_id: Callable[[FeedSpec], int],
+    land: Callable[[FeedSpec], bool],
 ) -> tuple:
     number = None
     try:
@@ -36,7 +37,7 @@ def _run_one(
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.label)
         result = incremental_load(
             read(spec), target(spec), keys=spec.keys, load_id=number,
-            load_col=spec.load_column, delete_first=spec.delete_last,
+            load_col=spec.load_column, delete_first=spec.delete_last, land=land(spec),
         )
         status = "loaded" if result.inserted else "empty"
         counts = (result.retrieved, result.inserted, result.columns)
@@ -56,11 +57,13 @@ def run_feeds(
     read: Callable[[FeedSpec], DataFrame],
     target: Callable[[FeedSpec], Target],
     load_id: Callable[[FeedSpec], int],
+    land: Callable[[FeedSpec], bool] = lambda spec: True,
     max_concurrent: int = MAX_CONCURRENT,
 ) -> DataFrame:
     """Load every feed and return the audit, one row per feed.
 
-    `read`, `target` and `load_id` give a feed's batch, target and fresh load id. Feeds of one target
+    `read`, `target` and `load_id` give a feed's batch, target and fresh load id, and `land` tells
+    whether to land its batch first (see `incremental_load`). Feeds of one target
     run one after the other, as each must see what the one before appended; different targets are
     submitted from a few driver threads, and Spark's fair scheduler shares the executors among them.
     """
@@ -70,7 +73,7 @@ def run_feeds(
 
     @inheritable_thread_target(spark)
     def run_target(feeds: list[FeedSpec]) -> list[tuple]:
-        return [_run_one(spark, spec, read, target, load_id) for spec in feeds]
+        return [_run_one(spark, spec, read, target, load_id, land) for spec in feeds]
 
     with ThreadPoolExecutor(max_workers=max_concurrent) as pool:
         outcomes = [row for rows in pool.map(run_target, by_target.values()) for row in rows]

@@ -192,11 +192,11 @@ FROM part"""
 def oracle_text(ts: str, year_digits: int = 4) -> Column:
     """A timestamp in the form DD-MON-YYYY HH:MI:SS, or with a two-digit year."""
     months = F.array(*map(F.lit, ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"]))
-    two = lambda col: F.lpad(col.cast("string"), 2, "0")
+    iso = F.col(ts).cast("string")
+    hour = F.lpad(((F.hour(ts) + 11) % 12 + 1).cast("string"), 2, "0")
     return F.concat(
-        two(F.day(ts)), F.lit("-"), F.element_at(months, F.month(ts)), F.lit("-"),
-        F.substring(F.year(ts).cast("string"), 5 - year_digits, year_digits), F.lit(" "),
-        two((F.hour(ts) + 11) % 12 + 1), F.lit(":"), two(F.minute(ts)), F.lit(":"), two(F.second(ts)),
+        F.substring(iso, 9, 2), F.lit("-"), F.element_at(months, F.month(ts)), F.lit("-"),
+        F.substring(iso, 5 - year_digits, year_digits), F.lit(" "), hour, F.substring(iso, 14, 6),
     )
 
 

@@ -134,5 +134,7 @@ def q_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         read=lambda spec: batches[spec.hierarchy],
         target=lambda spec: targets[spec.target_table],
         load_id=lambda spec: 100 + spec.hierarchy,
+        # The tables are files that do not change, so one feed lands for the sake of the trial only.
+        land=lambda spec: spec.company == "second",
     )
     return audit.select(*AUDIT_COLUMNS)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tidemark.operators.versions import without_load
 from tidemark.sources.jdbc import JdbcConnection, jdbc_options, jdbc_write_options
 from tidemark.specs import LOAD_COLUMN
-from tidemark.workspace import materialise
+from tidemark.workspace import empty_frame, materialise
 
 
 def _quoted(name: str) -> str:
@@ -93,7 +93,7 @@ class PathTarget:
     def read(self, spark: SparkSession) -> DataFrame:
         schema = self.columns(spark)
         if not self.exists(spark):
-            return spark.createDataFrame([], schema)
+            return empty_frame(spark, schema)
         return spark.read.schema(schema).parquet(self.path)
 
     def append(self, df: DataFrame) -> None:
@@ -184,4 +184,4 @@ def truncate(spark: SparkSession, target: Target) -> None:
     if isinstance(target, TableTarget):
         spark.sql(f"TRUNCATE TABLE {_quoted(target.name)}")
     else:
-        target.overwrite(spark.createDataFrame([], target.columns(spark)))
+        target.overwrite(empty_frame(spark, target.columns(spark)))
