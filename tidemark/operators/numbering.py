@@ -16,7 +16,9 @@ _POSITION_BITS = 33
 def global_row_number(
     df: DataFrame, order_by: Sequence[str | Column], out_col: str, *, tie_break: Sequence[str] | None = None
 ) -> DataFrame:
-    """Number the rows 1..n by `order_by` (NULL first), ties settled by `tie_break`, else by all other columns.
+    """Number the rows 1..n in ascending order of `order_by`, NULL first.
+
+    Ties are settled by `tie_break`, or else by all other columns.
 
     `row_number()` over an unpartitioned window sends every row to one task. Here a global sort
     (range partitions) is written once together with each row's partition and position, and the
