@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +12,7 @@ from tidemark.plans.load import incremental_load, incremental_rows, load_counts
 from tidemark.plans.promote import promotion_manifest
 from tidemark.plans.run import run_feeds, run_summary
 from tidemark.sinks import PathTarget, TableTarget
-from tidemark.workspace import new_path
+from tidemark.workspace import new_path, shared_folder
 
 COLUMNS = "ID long, v string, HASH_VALUE string"
 
@@ -104,6 +106,25 @@ def test_missing_columns_are_reported(spark):
         incremental_rows(good, target, keys="ID", load_id=2, match_on="key")
 
 
+def test_names_match_in_any_case(spark, target):
+    batch = batch_of(spark, [(1, "a")]).toDF("id", "V", "hash_value")
+    assert incremental_load(batch, target, keys="ID", load_id=1).inserted == 1
+    assert incremental_load(batch, target, keys="Id", load_id=2).inserted == 0
+    assert contents(spark, target) == [(1, 1, "a")]
+
+
+def test_landed_batch_is_removed_after_success_only(spark, target):
+    def landings():
+        folder = shared_folder(spark)
+        return {name for name in os.listdir(folder) if name.startswith("landed-77")}
+
+    incremental_load(batch_of(spark, [(1, "a")]), target, keys="ID", load_id=77)
+    assert not landings()
+    with pytest.raises(ValueError, match="no columns"):
+        incremental_load(batch_of(spark, [(2, "a")]).withColumn("extra", F.lit(1)), target, keys="ID", load_id=778)
+    assert len(landings()) == 1
+
+
 def test_counts_add_up(spark):
     batch = batch_of(spark, [(i, "a") for i in range(6)]).withColumn("feed", F.col("ID") % 2)
     latest = batch_of(spark, [(0, "a"), (1, "b"), (2, "a")])

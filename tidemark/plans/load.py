@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,19 +15,18 @@ from tidemark.operators.projection import stamp_load_id
 from tidemark.operators.versions import hash_anti_join, latest_per_key, mark_new
 from tidemark.sinks.targets import Target, append_by_name, delete_load
 from tidemark.specs import HASH_COLUMN, LOAD_COLUMN
-from tidemark.workspace import materialise
+from tidemark.workspace import landed
 
 MATCH_ON = ("hash", "key_hash")
 
 
-def _check(batch: DataFrame, target: DataFrame, keys: Sequence[str], load_col: str, hash_col: str) -> None:
-    for name, df, needed in [
-        ("batch", batch, [hash_col, *keys]),
-        ("target", target, [hash_col, load_col, *keys]),
-    ]:
-        missing = [c for c in needed if c not in df.columns]
-        if missing:
-            raise ValueError(f"the {name} lacks the columns {missing}")
+def _with_columns_named(df: DataFrame, names: Sequence[str], what: str) -> DataFrame:
+    """`df` with its columns of these names, in whatever case, spelt as given; a missing one is an error."""
+    found = {c.lower(): c for c in df.columns}
+    missing = [n for n in names if n.lower() not in found]
+    if missing:
+        raise ValueError(f"the {what} lacks the columns {missing}")
+    return df.withColumnsRenamed({found[n.lower()]: n for n in names if found[n.lower()] != n})
 
 
 def latest_hashes(
@@ -61,7 +61,8 @@ def incremental_rows(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if match_on not in MATCH_ON:
         raise ValueError(f"match_on must be one of {MATCH_ON}")
-    _check(batch, target, keys, load_col, hash_col)
+    batch = _with_columns_named(batch, [*keys, hash_col], "batch")
+    target = _with_columns_named(target, [*keys, load_col, hash_col], "target")
     stamped = hash_to_string(stamp_load_id(batch, load_id, load_col), hash_col)
     latest = latest_hashes(stamped, target, keys, load_col=load_col, hash_col=hash_col)
     fresh = hash_anti_join(stamped, latest, hash_col, keys=keys if match_on == "key_hash" else None)
@@ -105,14 +106,16 @@ def incremental_load(
     if not target.read(spark).where(own_load).isEmpty():
         raise ValueError(f"load {load_id} already has rows in the target")
 
-    landed = materialise(batch, f"landed-{load_id}") if land else batch
-    fresh = incremental_rows(
-        landed, target.read(spark), keys=keys, load_id=load_id, load_col=load_col, hash_col=hash_col, match_on=match_on
-    )
-    # Few rows usually survive out of many tasks; rebalancing them makes a few well-filled files.
-    append_by_name(fresh.hint("rebalance"), target)
+    with landed(batch, f"landed-{load_id}") if land else nullcontext(batch) as rows:
+        fresh = incremental_rows(
+            rows, target.read(spark), keys=keys, load_id=load_id, load_col=load_col, hash_col=hash_col,
+            match_on=match_on,
+        )
+        # Few rows usually survive out of many tasks; rebalancing them makes a few well-filled files.
+        append_by_name(fresh.hint("rebalance"), target)
+        retrieved = rows.count()
     inserted = target.read(spark).where(own_load).count()
-    return LoadResult(load_id, landed.count(), inserted, len(fresh.columns))
+    return LoadResult(load_id, retrieved, inserted, len(fresh.columns))
 
 
 def load_counts(batch: DataFrame, latest: DataFrame, by: Sequence[str], *, hash_col: str = HASH_COLUMN) -> DataFrame:

@@ -17,6 +17,18 @@ RECOMMENDED = {
 }
 
 
+# A shuffle partition of this size is sorted in an executor's memory without spilling much.
+SHUFFLE_PARTITION_BYTES = 128 * 1024**2
+
+
+def shuffle_partitions(bytes_shuffled: int, at_least: int = 8) -> int:
+    """Value for `spark.sql.shuffle.partitions` when the largest shuffle moves `bytes_shuffled`.
+
+    Rather too many than too few: AQE merges small ones and cannot divide large ones except in joins.
+    """
+    return max(at_least, -(-bytes_shuffled // SHUFFLE_PARTITION_BYTES))
+
+
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the recommended settings; keyword settings (dots as `__`) override them."""
     builder = SparkSession.builder.appName(app_name)

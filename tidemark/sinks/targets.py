@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tidemark.operators.versions import without_load
 from tidemark.sources.jdbc import JdbcConnection, jdbc_options, jdbc_write_options
 from tidemark.specs import LOAD_COLUMN
-from tidemark.workspace import empty_frame, materialise
+from tidemark.workspace import delete_folder, empty_frame, landed
 
 
 def _quoted(name: str) -> str:
@@ -106,8 +106,7 @@ class PathTarget:
     def drop_load(self, spark: SparkSession, load_id: int, load_col: str) -> bool:
         if self.partition_by != (load_col,):
             return False
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{load_col}={int(load_id)}")
-        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        delete_folder(spark, f"{self.path}/{load_col}={int(load_id)}")
         return True
 
 
@@ -146,13 +145,18 @@ def _as_type(column, field: T.StructField):
 
 
 def append_by_name(df: DataFrame, target: Target) -> None:
-    """Append the columns of `df` to the target's columns of the same name; target columns it lacks become NULL."""
+    """Append the columns of `df` to the target's columns of the same name, in upper or lower case.
+
+    Target columns that `df` lacks become NULL; a column the target lacks is an error.
+    """
     schema = target.columns(df.sparkSession)
-    unknown = [c for c in df.columns if c not in schema.names]
+    given = {c.lower(): c for c in df.columns}
+    unknown = sorted(set(given) - {c.lower() for c in schema.names})
     if unknown:
         raise ValueError(f"the target has no columns {unknown}")
     target.append(df.select(*[
-        _as_type(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None), f) for f in schema.fields
+        _as_type(F.col(f"`{given[f.name.lower()]}`") if f.name.lower() in given else F.lit(None), f)
+        for f in schema.fields
     ]))
 
 
@@ -175,8 +179,8 @@ def delete_load(spark: SparkSession, target: Target, load_id: int, load_col: str
         return
     if isinstance(target, JdbcTarget):
         raise ValueError("delete the load in the database: Spark's JDBC writer cannot delete rows")
-    rest = materialise(without_load(target.read(spark), load_id, load_col), "delete-load")
-    target.overwrite(rest.select(*target.columns(spark).names))
+    with landed(without_load(target.read(spark), load_id, load_col), "delete-load") as rest:
+        target.overwrite(rest.select(*target.columns(spark).names))
 
 
 def truncate(spark: SparkSession, target: Target) -> None:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +36,32 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once and return a frame that reads it back, cutting the lineage."""
+    """Write `df` once and return a frame that reads it back, cutting the lineage.
+
+    The files stay, since the frame is lazy; the folder's own retention removes them.
+    """
+    return _written(df, new_path(df.sparkSession, label))
+
+
+@contextmanager
+def landed(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """`materialise` for the length of a block; the files are removed when it ends well and kept when it fails."""
     path = new_path(df.sparkSession, label)
+    yield _written(df, path)
+    delete_folder(df.sparkSession, path)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with everything in it, on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows of `schema`, known to the optimiser as empty, so joins with it fold away."""
     nothing = spark.range(1).where(F.lit(False))
