@@ -19,7 +19,10 @@ VALID_DAYS_BACK = 1
 VALID_MONTHS_AHEAD = 100
 
 
-def as_timestamp(as_of: str | dt.datetime | Column) -> Column:
+Instant = str | dt.datetime | Column
+
+
+def as_timestamp(as_of: Instant) -> Column:
     """The time of the load as a zone-less timestamp."""
     value = as_of if isinstance(as_of, Column) else F.lit(str(as_of))
     return value.cast("timestamp_ntz")

@@ -1,15 +1,21 @@
 """Feeds with a transformation of their own. A feed without one is its view, read whole.
 
 Each function takes the source views as DataFrames, with the columns their documentation lists, and
-gives the columns of the staging table. `as_of` is the time of the load and `creator` the name put
-into B_CREATOR.
+gives the columns of the staging table. `as_of` is the time of the load (text, datetime or column) and
+`creator` the name put into B_CREATOR.
 """
 
 from tidemark.plans.feeds.communications import communications_feed
 from tidemark.plans.feeds.inspections import inspections_feed
 from tidemark.plans.feeds.property import blocks_feed, schemes_feed, units_feed
 from tidemark.plans.feeds.residents import residents_feed
-from tidemark.plans.feeds.survey import attribute_type_feed, key_lookup_feed, key_value_feed, survey_rows
+from tidemark.plans.feeds.survey import (
+    attribute_type_feed,
+    key_lookup_feed,
+    key_value_feed,
+    survey_findings,
+    survey_rows,
+)
 
 __all__ = [
     "attribute_type_feed",
@@ -20,6 +26,7 @@ __all__ = [
     "key_value_feed",
     "residents_feed",
     "schemes_feed",
+    "survey_findings",
     "survey_rows",
     "units_feed",
 ]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import format_twelve_hour
+from tidemark.functions.dates import Instant, as_timestamp, format_twelve_hour
 from tidemark.functions.decoding import decode, decode_rank
 from tidemark.functions.hashing import sha1_null_skipped
 from tidemark.operators.projection import active_at
@@ -34,9 +34,10 @@ def current_parties(
     household_persons: DataFrame,
     tenancies: DataFrame,
     *,
-    as_of: Column,
+    as_of: Instant,
 ) -> DataFrame:
     """Distinct ids of the parties to a lease assignment or a tenancy that is active at `as_of`."""
+    as_of = as_timestamp(as_of)
     leases = lease_assignments.where(active_at(as_of, F.col("las_start_date"), F.col("las_end_date")))
     lessees = lease_parties.join(
         leases, F.col("las_lea_pro_refno") == F.col("lpt_las_lea_pro_refno"), "left_semi"
@@ -50,15 +51,17 @@ def current_parties(
 
 
 def communications_feed(
-    contact_details: DataFrame, parties: DataFrame, current: DataFrame, *, as_of: Column, creator: str
+    contact_details: DataFrame, parties: DataFrame, current: DataFrame, *, as_of: Instant, creator: str
 ) -> DataFrame:
     """Contacts of the `current` parties (see `current_parties`), each once.
 
-    Being in one of two sets is one semi join with their union, which shuffles the contacts once.
+    Being in one of two sets is one semi join with their union. It narrows the parties first, so the
+    contacts take part in a single join, in which AQE can split a party with very many of them.
     """
+    as_of = as_timestamp(as_of)
+    wanted = parties.join(current, F.col("par_refno") == F.col("party"), "left_semi")
     contacts = (
-        contact_details.join(parties, F.col("par_refno") == F.col("cde_par_refno"))
-        .join(current, F.col("par_refno") == F.col("party"), "left_semi")
+        contact_details.join(wanted, F.col("par_refno") == F.col("cde_par_refno"))
         .select(
             F.col("cde_contact_value").alias("VALUE"),
             F.col("cde_contact_name").alias("COMMUNICATION_NAME"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import blank_to_null, equals_padded, isnull_default, rtrim_text
-from tidemark.functions.dates import text_to_date
+from tidemark.functions.dates import Instant, as_timestamp, text_to_date
 from tidemark.functions.hashing import row_hash
 from tidemark.operators.numbering import global_row_number
 
@@ -60,8 +60,9 @@ _TREATMENTS = {
 }
 
 
-def inspections_feed(view: DataFrame, *, as_of: Column, creator: str) -> DataFrame:
+def inspections_feed(view: DataFrame, *, as_of: Instant, creator: str) -> DataFrame:
     """The view's texts trimmed, blanks and NULL as '', dates parsed, rows numbered by property reference."""
+    as_of = as_timestamp(as_of)
     numbered = global_row_number(view.select(*HASHED), ["prop_ref"], KEY)
     return numbered.select(
         KEY,

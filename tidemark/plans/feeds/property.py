@@ -26,9 +26,13 @@ def _owner():
 
 
 def units_feed(property_index: DataFrame, building: DataFrame, area: DataFrame) -> DataFrame:
-    """Units of buildings that lie in a known area, with occupancy and floor decoded."""
-    u, b, a = property_index.alias("u"), building.alias("b"), area.alias("a")
-    joined = u.join(b, F.col("u.Building") == F.col("b.name_")).join(a, F.col("b.area_") == F.col("a.ID"))
+    """Units of buildings that lie in a known area, with occupancy and floor decoded.
+
+    Buildings and areas are joined first, so that the units, the largest of the three, move once.
+    """
+    located = building.join(area.select(F.col("ID").alias("_area")), F.col("area_") == F.col("_area"))
+    u, b = property_index.alias("u"), located.alias("b")
+    joined = u.join(b, F.col("u.Building") == F.col("b.name_"))
     col = lambda name: F.col(f"u.`{name}`")
     return joined.select(
         F.lit("Units").alias("B_CLASSNAME"),

@@ -1,7 +1,7 @@
 """Three feeds from one union of survey attributes and survey repairs.
 
-`survey_rows` joins the union once. A run that loads all three feeds should pass it through
-`workspace.materialise` and hand the result to each, so that the join is computed once.
+Each takes the assets and `survey_findings`, the union. Where reading the two survey views is costly, a
+run that loads all three feeds should pass the findings through `workspace.materialise` once.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import concat_key
-from tidemark.functions.dates import validity_window
+from tidemark.functions.dates import Instant, as_timestamp, validity_window
 from tidemark.functions.hashing import row_hash
 from tidemark.operators.numbering import global_row_number
 from tidemark.operators.projection import not_in, union_all_padded
@@ -40,15 +40,23 @@ REPAIR_COLUMNS = [
 ]
 
 
-def survey_rows(asset: DataFrame, attributes: DataFrame, repairs: DataFrame) -> DataFrame:
-    """Attribute and repair rows of known assets, one below the other, with AssetID and UPRN of the asset.
+def survey_findings(attributes: DataFrame, repairs: DataFrame) -> DataFrame:
+    """Attribute rows and repair rows one below the other, each padded with NULL."""
+    return union_all_padded(attributes.select(*ATTRIBUTE_COLUMNS), repairs.select(*REPAIR_COLUMNS))
 
-    Both halves are joined to the same assets, so the union is taken first and joined once.
+
+def survey_rows(asset: DataFrame, findings: DataFrame) -> DataFrame:
+    """The findings of known assets, with the UPRN of the asset.
+
+    Both halves belong to the same assets, so their union is joined once rather than each half.
     """
-    findings = union_all_padded(attributes.select(*ATTRIBUTE_COLUMNS), repairs.select(*REPAIR_COLUMNS))
     return asset.select("AssetID", "UPRN").join(findings, "AssetID")
 
 
+def _of_known_assets(asset: DataFrame, findings: DataFrame) -> DataFrame:
+    return findings.join(asset.select("AssetID"), "AssetID", "left_semi")
+
+
 def _constants(values: dict) -> list[Column]:
     return [F.lit(value).alias(name) for name, value in values.items()]
 
@@ -58,9 +66,11 @@ def _validity(as_of: Column) -> list[Column]:
     return [start.alias("VALID_FROM"), end.alias("VALID_TO")]
 
 
-def key_lookup_feed(rows: DataFrame, *, as_of: Column, creator: str) -> DataFrame:
+def key_lookup_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant, creator: str) -> DataFrame:
     """The distinct components."""
-    return rows.select("ComponentID", "Component").distinct().select(
+    as_of = as_timestamp(as_of)
+    components = _of_known_assets(asset, findings).select("ComponentID", "Component").distinct()
+    return components.select(
         F.col("ComponentID").alias("ATTRIBUTE_KEY_LOOKUP_ID"),
         F.col("Component").alias("KEY_NAME"),
         row_hash("ComponentID", "Component").alias("HASH_VALUE"),
@@ -71,9 +81,11 @@ def key_lookup_feed(rows: DataFrame, *, as_of: Column, creator: str) -> DataFram
     )
 
 
-def attribute_type_feed(rows: DataFrame, *, as_of: Column, creator: str) -> DataFrame:
+def attribute_type_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant, creator: str) -> DataFrame:
     """The distinct elements that have an id, which repair rows never have."""
-    elements = rows.where(F.col("RepairElementID").isNotNull()).select("RepairElementID", "RepairElement").distinct()
+    as_of = as_timestamp(as_of)
+    identified = findings.where(F.col("RepairElementID").isNotNull())
+    elements = _of_known_assets(asset, identified).select("RepairElementID", "RepairElement").distinct()
     return elements.select(
         concat_key(TYPE_PREFIX, F.col("RepairElementID")).alias("PROP_ATTRIBUTE_TYPE_ID"),
         F.col("RepairElement").alias("TYPE_NAME"),
@@ -86,9 +98,10 @@ def attribute_type_feed(rows: DataFrame, *, as_of: Column, creator: str) -> Data
 
 
 def key_value_feed(
-    rows: DataFrame,
+    asset: DataFrame,
+    findings: DataFrame,
     *,
-    as_of: Column,
+    as_of: Instant,
     creator: str,
     excluded: Sequence[str] = EXCLUDED_ELEMENTS,
     numbered: bool = True,
@@ -101,9 +114,14 @@ def key_value_feed(
     The key is a row number, which shifts whenever a row is added upstream: the load then compares a
     row with another row's history and may append it again. `numbered=False` gives a stable key
     instead, the hash of the group's natural key.
+
+    The maxima are taken before the join to the assets, which changes nothing, as a repeated row does
+    not change a maximum. An asset with very many findings is thus reduced on the map side and spread
+    by element and component, and the join moves one row per group.
     """
-    group = ["ComponentID", "AssetID", "UPRN", "RepairElement", "Component"]
-    groups = rows.where(not_in(F.col("RepairElement"), excluded)).groupBy(*group).agg(
+    as_of = as_timestamp(as_of)
+    group = ["AssetID", "ComponentID", "RepairElement", "Component"]
+    maxima = findings.where(not_in(F.col("RepairElement"), excluded)).groupBy(*group).agg(
         F.max("RepairElementID").alias("RepairElementID"),
         F.max("Attribute").alias("Attribute"),
         F.max("InstallationDate").alias("InstallationDate"),
@@ -114,11 +132,13 @@ def key_value_feed(
         F.max(F.coalesce("SurveyAttributeID", "SurveyRepairID")).alias("SurveyAttributeID"),
         F.max("Surveyor").alias("Surveyor"),
     )
+    groups = asset.select("AssetID", "UPRN").distinct().join(maxima, "AssetID")
+    natural = ["ComponentID", "AssetID", "UPRN", "RepairElement", "Component"]
     key = "PROP_ATTRIBUTE_KEY_VALUE_"
     if numbered:
-        keyed = global_row_number(groups, ["UPRN", "SurveyAttributeID"], key, tie_break=group)
+        keyed = global_row_number(groups, ["UPRN", "SurveyAttributeID"], key, tie_break=natural)
     else:
-        keyed = groups.withColumn(key, row_hash(*group))
+        keyed = groups.withColumn(key, row_hash(*natural))
     return keyed.select(
         key,
         F.col("UPRN").alias("F_PROPERTY_ATTRIBUTES"),

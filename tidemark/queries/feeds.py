@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import as_timestamp
 from tidemark.plans.feeds import (
     attribute_type_feed,
     blocks_feed,
@@ -15,7 +14,6 @@ from tidemark.plans.feeds import (
     key_value_feed,
     residents_feed,
     schemes_feed,
-    survey_rows,
     units_feed,
 )
 from tidemark.plans.feeds.communications import current_parties
@@ -27,8 +25,7 @@ from tidemark.queries.frames import (
     SQL_SURVEY_CTES,
     residents_view,
     survey_asset,
-    survey_attributes,
-    survey_repairs,
+    survey_union,
 )
 from tidemark.queries.registry import query, table
 
@@ -40,10 +37,8 @@ def _sql_hash(*columns: str) -> str:
     return "sha256(" + " || chr(31) || ".join(f"coalesce(({c})::VARCHAR, chr(30))" for c in columns) + ")"
 
 
-def _survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return survey_rows(
-        survey_asset(spark, sf_dir), survey_attributes(spark, sf_dir), survey_repairs(spark, sf_dir)
-    )
+def _survey(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return survey_asset(spark, sf_dir), survey_union(spark, sf_dir)
 
 
 SQL_STAMPS = f"""{SQL_AS_OF} AS B_CREDATE, '{CREATOR}' AS B_CREATOR"""
@@ -56,7 +51,7 @@ SELECT DISTINCT ComponentID AS ATTRIBUTE_KEY_LOOKUP_ID, Component AS KEY_NAME,
        41 AS F_SOURCE_SYSTEM, 1 AS F_DATA_OWNERSHIP, {SQL_STAMPS}, {SQL_VALIDITY}
 FROM survey""")
 def q_feed_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_lookup_feed(_survey(spark, sf_dir), as_of=as_timestamp(AS_OF), creator=CREATOR)
+    return key_lookup_feed(*_survey(spark, sf_dir), as_of=AS_OF, creator=CREATOR)
 
 
 EXCLUDED = ("Supplier#000000001", "Supplier#000000002 ")
@@ -87,13 +82,13 @@ FROM groups"""
     "AssetID NULLS FIRST, RepairElement NULLS FIRST, Component NULLS FIRST)"
 ))
 def q_feed_key_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_value_feed(_survey(spark, sf_dir), as_of=as_timestamp(AS_OF), creator=CREATOR, excluded=EXCLUDED)
+    return key_value_feed(*_survey(spark, sf_dir), as_of=AS_OF, creator=CREATOR, excluded=EXCLUDED)
 
 
 @query(_sql_key_value(_sql_hash("ComponentID", "AssetID", "UPRN", "RepairElement", "Component")))
 def q_feed_key_value_natural(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_value_feed(
-        _survey(spark, sf_dir), as_of=as_timestamp(AS_OF), creator=CREATOR, excluded=EXCLUDED, numbered=False
+        *_survey(spark, sf_dir), as_of=AS_OF, creator=CREATOR, excluded=EXCLUDED, numbered=False
     )
 
 
@@ -104,7 +99,7 @@ SELECT DISTINCT 'TP_' || RepairElementID::VARCHAR AS PROP_ATTRIBUTE_TYPE_ID, Rep
        '1' AS F_DATA_OWNERSHIP, {SQL_STAMPS}, {SQL_VALIDITY}
 FROM survey WHERE RepairElementID IS NOT NULL""")
 def q_feed_attribute_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attribute_type_feed(_survey(spark, sf_dir), as_of=as_timestamp(AS_OF), creator=CREATOR)
+    return attribute_type_feed(*_survey(spark, sf_dir), as_of=AS_OF, creator=CREATOR)
 
 
 @query(SQL_RESIDENTS_FEED)
@@ -310,7 +305,7 @@ def q_feed_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("0").alias("resident_cleaning_cnt"),
         date.alias("resident_cleaning_last_date"),
     )
-    return inspections_feed(view, as_of=as_timestamp(AS_OF), creator=CREATOR)
+    return inspections_feed(view, as_of=AS_OF, creator=CREATOR)
 
 
 # --- communications: customers with a current order, as lease, or a current line, as tenancy ------
@@ -358,7 +353,6 @@ def q_feed_communications(spark: SparkSession, sf_dir: str) -> DataFrame:
         code.alias("cde_frv_cme_code"),
     )
     open_ended = (F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "1-URGENT")
-    as_of = as_timestamp(AS_OF)
     current = current_parties(
         orders.select(F.col("o_orderkey").alias("lpt_las_lea_pro_refno"), F.col("o_custkey").alias("lpt_par_refno")),
         orders.select(
@@ -373,7 +367,7 @@ def q_feed_communications(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_shipdate").alias("tcy_act_start_date"),
             (F.col("l_shipdate") + F.expr("INTERVAL 60 DAY")).alias("tcy_act_end_date"),
         ),
-        as_of=as_of,
+        as_of=AS_OF,
     )
     parties = customer.select(custkey.alias("par_refno"))
-    return communications_feed(contact_details, parties, current, as_of=as_of, creator=CREATOR)
+    return communications_feed(contact_details, parties, current, as_of=AS_OF, creator=CREATOR)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.projection import union_all_padded
+from tidemark.plans.feeds.survey import survey_findings
 from tidemark.queries.registry import table
 
 AS_OF = "2001-03-15 14:05:06"
@@ -145,6 +145,11 @@ def survey_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def survey_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves, before the join to the assets."""
+    return survey_findings(survey_attributes(spark, sf_dir), survey_repairs(spark, sf_dir))
+
+
 SQL_SURVEY_CTES = """
 lines AS (
   SELECT *, l_orderkey * 10 + l_linenumber AS line_id
@@ -275,8 +280,3 @@ SQL_RESIDENTS_FEED = _SQL_RESIDENT.format(
     end=f"CASE WHEN o_orderstatus = 'F' THEN {sql_morning('o_orderdate')} END",
     created=sql_morning("o_orderdate"),
 )
-
-
-def survey_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The padded union of both survey halves, before the join to the assets."""
-    return union_all_padded(survey_attributes(spark, sf_dir), survey_repairs(spark, sf_dir))

@@ -18,8 +18,6 @@ from tidemark.queries.frames import (
     SQL_SURVEY_CTES,
     residents_view,
     survey_asset,
-    survey_attributes,
-    survey_repairs,
     survey_union,
 )
 from tidemark.queries.registry import query, table
@@ -235,16 +233,17 @@ def q_decode_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SQL_SURVEY_CTES} SELECT DISTINCT ComponentID, Component, RepairElement FROM survey")
 def q_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _survey(spark, sf_dir).select("ComponentID", "Component", "RepairElement").distinct()
+    return survey_union(spark, sf_dir).select("ComponentID", "Component", "RepairElement").distinct()
 
 
 @query(f"""WITH {SQL_SURVEY_CTES}
-SELECT ComponentID, AssetID, UPRN, RepairElement, Component, max(RepairElementID) AS RepairElementID,
+SELECT ComponentID, AssetID, RepairElement, Component, Surveyor, max(RepairElementID) AS RepairElementID,
        max(Attribute) AS Attribute, max(InstallationDate) AS InstallationDate, max(Quantity) AS Quantity,
        max(coalesce(SurveyAttributeID, SurveyRepairID)) AS SurveyAttributeID
 FROM survey GROUP BY ALL""")
 def q_group_multi_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _survey(spark, sf_dir).groupBy("ComponentID", "AssetID", "UPRN", "RepairElement", "Component").agg(
+    findings = survey_union(spark, sf_dir)
+    return findings.groupBy("ComponentID", "AssetID", "RepairElement", "Component", "Surveyor").agg(
         F.max("RepairElementID").alias("RepairElementID"),
         F.max("Attribute").alias("Attribute"),
         F.max("InstallationDate").alias("InstallationDate"),
@@ -267,11 +266,4 @@ def q_limit_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SQL_SURVEY_CTES} SELECT * FROM survey")
 def q_union_all_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asset = survey_asset(spark, sf_dir)
-    return asset.join(survey_union(spark, sf_dir), "AssetID")
-
-
-def _survey(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return survey_rows(
-        survey_asset(spark, sf_dir), survey_attributes(spark, sf_dir), survey_repairs(spark, sf_dir)
-    )
+    return survey_rows(survey_asset(spark, sf_dir), survey_union(spark, sf_dir))
