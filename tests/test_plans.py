@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as spark_entry
 from tidemark.operators.numbering import global_row_number
 from tidemark.operators.versions import hash_anti_join, latest_per_key, mark_new
+from tidemark.plans.feeds import communications_feed, key_value_feed, survey_findings
 from tidemark.plans.load import incremental_rows
 from tidemark.workspace import materialise
 
@@ -133,3 +134,36 @@ def test_no_cross_join_and_no_python(spark, name):
     plan = spark_entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
         assert bad not in plan
+
+
+def test_hot_asset_is_reduced_before_the_join(spark, skew_settings):
+    ids = spark.range(0, 60_000, 1, 8)
+    attributes = ids.select(
+        hot("AssetID", F.col("id")), (F.col("id") % 50).alias("RepairElementID"), F.lit("E").alias("RepairElement"),
+        (F.col("id") % 10).alias("ComponentID"), F.lit("C").alias("Component"), F.lit(1).alias("AttributeID"),
+        F.col("id").alias("SurveyAttributeID"), F.lit("x").alias("Attribute"),
+        F.lit("2020-01-01").cast("timestamp_ntz").alias("InstallationDate"), F.lit("s").alias("Surveyor"),
+    )
+    repairs = spark.createDataFrame([], "AssetID long, RepairElement string, ComponentID long, Component string, "
+                                        "RepairID int, SurveyRepairID long, RepairDescription string, Quantity int, "
+                                        "YearDue int, RepairCost double, Surveyor string")
+    asset = ids.select(F.col("id").alias("AssetID"), F.col("id").cast("string").alias("UPRN"))
+    feed = key_value_feed(asset, survey_findings(attributes, repairs), as_of="2020-01-01", creator="t", numbered=False)
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    join, partial, final = plan.index("SortMergeJoin"), plan.index("partial_max"), plan.index("functions=[max")
+    assert join < final < partial, "the maxima are computed below the join"
+    assert feed.count() == 40_000 + 10
+
+
+def test_contacts_join_once_and_a_hot_party_is_split(spark, skew_settings):
+    ids = materialise(spark.range(0, 60_000, 1, 8), "ids")
+    contacts = ids.select(
+        F.col("id").alias("cde_refno"), hot("cde_par_refno", F.col("id")),
+        F.sha2(F.col("id").cast("string"), 512).alias("cde_contact_value"), F.lit("n").alias("cde_contact_name"),
+        F.lit("1").alias("cde_precedence"), F.lit("EMAIL").alias("cde_frv_cme_code"),
+    )
+    parties = ids.select(F.col("id").alias("par_refno"))
+    current = ids.select(F.col("id").alias("party"))
+    feed = communications_feed(contacts, parties, current, as_of="2020-01-01", creator="t")
+    assert "SortMergeJoin(skew=true)" in plan_of(feed)
+    assert feed.count() == 60_000

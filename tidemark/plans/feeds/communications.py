@@ -60,8 +60,10 @@ def communications_feed(
     """
     as_of = as_timestamp(as_of)
     wanted = parties.join(current, F.col("par_refno") == F.col("party"), "left_semi")
+    # No wanted party is NULL, so the null-safe comparison means equality. Its join keys differ from
+    # those of the semi join, which makes Spark exchange both sides anew: AQE only splits such a join.
     contacts = (
-        contact_details.join(wanted, F.col("par_refno") == F.col("cde_par_refno"))
+        contact_details.join(wanted, F.col("par_refno").eqNullSafe(F.col("cde_par_refno")))
         .select(
             F.col("cde_contact_value").alias("VALUE"),
             F.col("cde_contact_name").alias("COMMUNICATION_NAME"),

@@ -78,23 +78,23 @@ class PathTarget:
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
 
-    def exists(self, spark: SparkSession) -> bool:
+    def _read_if_there(self, spark: SparkSession) -> DataFrame | None:
         try:
-            spark.read.schema(self.schema).parquet(self.path)
-            return True
+            return spark.read.schema(self.columns(spark)).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return False
+                return None
             raise
 
+    def exists(self, spark: SparkSession) -> bool:
+        return self._read_if_there(spark) is not None
+
     def columns(self, spark: SparkSession) -> T.StructType:
         return _in_table_order(self.schema, self.partition_by)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        schema = self.columns(spark)
-        if not self.exists(spark):
-            return empty_frame(spark, schema)
-        return spark.read.schema(schema).parquet(self.path)
+        there = self._read_if_there(spark)
+        return empty_frame(spark, self.columns(spark)) if there is None else there
 
     def append(self, df: DataFrame) -> None:
         df.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
