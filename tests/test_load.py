@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from tidemark import FeedSpec
 from tidemark.operators.projection import stamp_load_id
 from tidemark.plans.load import incremental_load, incremental_rows, load_counts
 from tidemark.plans.promote import promotion_manifest
-from tidemark.plans.run import run_feeds, run_summary
+from tidemark.plans.run import feed_reader, run_feeds, run_summary
 from tidemark.sinks import PathTarget, TableTarget
 from tidemark.workspace import new_path, shared_folder
 
@@ -169,3 +170,16 @@ def test_summary_of_no_feeds(spark):
     audit = run_feeds(spark, [], read=None, target=None, load_id=None)
     assert run_summary(audit).first().asDict() == {"feeds": 0, "failed": 0, "retrieved": 0, "inserted": 0}
     assert isinstance(audit.schema["load_id"].dataType, T.LongType)
+
+
+def test_feeds_of_both_kinds_are_read(spark):
+    views = {"units": batch_of(spark, [(1, "a")]), "blocks": batch_of(spark, [(2, "b")])}
+    read = feed_reader(
+        lambda spec, view: views[view],
+        {"both": lambda view: view("units").unionByName(view("blocks"))},
+    )
+    spec = FeedSpec("SA_X", "one", 1, "ID", statement="units")
+    assert read(spec).count() == 1
+    assert read(replace(spec, statement="both")).count() == 2
+    with pytest.raises(KeyError):
+        read(replace(spec, statement="absent"))

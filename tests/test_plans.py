@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
-from tidemark.operators.numbering import global_row_number
+from tidemark.operators.numbering import global_row_number, placed_rows
 from tidemark.operators.versions import hash_anti_join, latest_per_key, mark_new
 from tidemark.plans.feeds import communications_feed, key_value_feed, survey_findings
 from tidemark.plans.load import incremental_rows
@@ -105,15 +105,21 @@ def test_row_number_has_no_single_task_stage_over_rows(spark):
     assert [(r["k"], r["id"]) for r in numbered.orderBy("n").collect()] == [(r["k"], r["id"]) for r in plain]
 
 
-def test_row_number_spreads_a_hot_leading_value(spark):
-    rows = spark.range(0, 40_000, 1, 8).select(hot("k", F.col("id")), "id")
-    placed = rows.orderBy("k", "id").withColumn("_part", F.spark_partition_id())
+def _sort_partitions(placed):
+    return placed.select(F.shiftright("_place", 33).alias("p")).groupBy("p").count().collect()
+
+
+@pytest.mark.parametrize("what", ["leading value", "copies"])
+def test_row_number_spreads_hot_ties(spark, what):
+    ids = spark.range(0, 40_000, 1, 8)
+    rows = ids.select(hot("k", F.col("id")), "id") if what == "leading value" else ids.select(hot("k", F.col("id")))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        parts = placed.where("k = 0").select("_part").distinct().count()
+        placed = placed_rows(rows, ["k"], distinct_rows=what == "leading value")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert parts > 1
+    assert len(_sort_partitions(placed.where("k = 0"))) > 1
+    assert max(r["count"] for r in _sort_partitions(placed)) < 40_000 / 3
 
 
 def test_load_reads_only_key_load_and_hash_of_the_target(spark, tmp_path):

@@ -14,26 +14,23 @@ _POSITION_BITS = 33
 
 
 def global_row_number(
-    df: DataFrame, order_by: Sequence[str | Column], out_col: str, *, tie_break: Sequence[str] | None = None
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    out_col: str,
+    *,
+    tie_break: Sequence[str] | None = None,
+    distinct_rows: bool = False,
 ) -> DataFrame:
     """Number the rows 1..n in ascending order of `order_by`, NULL first.
 
-    Ties are settled by `tie_break`, or else by all other columns.
+    Ties are settled by `tie_break`, or else by all other columns. `distinct_rows` says that no two rows
+    agree in all of these; otherwise the frame is written once more (see `placed_rows`).
 
-    `row_number()` over an unpartitioned window sends every row to one task. Here a global sort
-    (range partitions) is written once together with each row's partition and position, and the
-    number is the position plus the rows of all earlier partitions. Writing first fixes the
-    boundaries: recomputing a sampled range sort could move rows between the two passes. Because
-    ties are ordered too, a value of `order_by` that a third of the rows share is spread over several
-    partitions. This runs the write when called; the rest is lazy.
+    `row_number()` over an unpartitioned window sends every row to one task. Here the rows are sorted
+    globally and written with their place, and the number is a row's position in its sort partition
+    plus the rows of all earlier ones. The writes run when this is called; the rest is lazy.
     """
-    leading = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    named = {c for c in order_by if isinstance(c, str)}
-    ties = list(tie_break) if tie_break is not None else [c for c in df.columns if c not in named]
-
-    ordered = df.orderBy(*[c.asc_nulls_first() for c in leading], *[F.col(f"`{c}`").asc_nulls_first() for c in ties])
-    placed = materialise(ordered.withColumn("_place", F.monotonically_increasing_id()), "row-number")
-
+    placed = placed_rows(df, order_by, tie_break=tie_break, distinct_rows=distinct_rows)
     part = F.shiftright("_place", _POSITION_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per sort partition, a few thousand at most: small enough for one task and to broadcast.
@@ -46,3 +43,32 @@ def global_row_number(
         .join(F.broadcast(offsets), "_part")
         .select((F.col("_offset") + position + 1).alias(out_col), *[F.col(f"`{c}`") for c in df.columns])
     )
+
+
+def placed_rows(
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    *,
+    tie_break: Sequence[str] | None = None,
+    distinct_rows: bool = False,
+) -> DataFrame:
+    """The rows in global order, written once, with `_place`: sort partition and position in it.
+
+    Writing fixes the boundaries; a sampled range sort computed anew could move rows between passes.
+    Since ties are ordered too, a value of `order_by` that a third of the rows share is spread over
+    several partitions. Copies of one row are spread as well: unless `distinct_rows`, the frame is first
+    written as it is, and each row's place in those files, which a repeated task finds again, breaks
+    the last ties.
+    """
+    leading = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    named = {c for c in order_by if isinstance(c, str)}
+    ties = list(tie_break) if tie_break is not None else [c for c in df.columns if c not in named]
+    keys = [c.asc_nulls_first() for c in [*leading, *[F.col(f"`{c}`") for c in ties]]]
+    rows = df
+    if not distinct_rows:
+        rows = materialise(df, "to-number").withColumn("_copy", F.monotonically_increasing_id())
+        keys.append(F.col("_copy").asc())
+    ordered = rows.orderBy(*keys).select(
+        *[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id().alias("_place")
+    )
+    return materialise(ordered, "row-number")

@@ -136,7 +136,9 @@ def key_value_feed(
     natural = ["ComponentID", "AssetID", "UPRN", "RepairElement", "Component"]
     key = "PROP_ATTRIBUTE_KEY_VALUE_"
     if numbered:
-        keyed = global_row_number(groups, ["UPRN", "SurveyAttributeID"], key, tie_break=natural)
+        keyed = global_row_number(
+            groups, ["UPRN", "SurveyAttributeID"], key, tie_break=natural, distinct_rows=True
+        )
     else:
         keyed = groups.withColumn(key, row_hash(*natural))
     return keyed.select(

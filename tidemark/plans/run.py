@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -23,6 +23,25 @@ AUDIT_SCHEMA = (
 MAX_CONCURRENT = 8
 
 
+def feed_reader(
+    read_view: Callable[[FeedSpec, str], DataFrame],
+    transformations: Mapping[str, Callable[[Callable[[str], DataFrame]], DataFrame]],
+) -> Callable[[FeedSpec], DataFrame]:
+    """The `read` of `run_feeds` for feeds of both kinds.
+
+    A feed whose statement is the name of a transformation gets what that makes of the source views;
+    the transformation is called with a function that reads one of them. Any other statement is read
+    as it is. `read_view` reads a statement or view from the feed's source.
+    """
+
+    def read(spec: FeedSpec) -> DataFrame:
+        if spec.statement in transformations:
+            return transformations[spec.statement](lambda view: read_view(spec, view))
+        return read_view(spec, spec.statement)
+
+    return read
+
+
 def _run_one(
     spark: SparkSession,
     spec: FeedSpec,
