@@ -156,7 +156,7 @@ class TestProperty:
             code, "Name", None, "1", "l1", "l2", "St", "PC", bedrooms, status, floor, None, house
         )
         index = spark.createDataFrame([
-            unit("u1", "Available", "2/3-Mez", "One House", None), unit("u2", "On Hold", "G", "Two House"),
+            unit("u1", "Available", "2/3-Mez", "One House", None), unit("u2", "On Hold ", "G ", "Two House  "),
             unit("u3", "Sold", None, "No Ref"), unit("u4", "Booked", "1", "Lost House"), unit("u5", None, "99", "Gone"),
         ], schema)
         feed = by(units_feed(index, building, area), "UNITS_ID")

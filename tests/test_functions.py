@@ -175,10 +175,14 @@ class TestDecoding:
     def test_decode(self, spark):
         df = texts(spark, ["a", "b ", None, "c"]).select(decode(F.col("t"), {"a": "1", "b": "2"}, "0"))
         assert one(df) == ["1", "0", "0", "0"]
+        df = texts(spark, ["a", "b ", None, "c"]).select(decode(F.col("t"), {"a": "1", "b": "2"}, "0", padded=True))
+        assert one(df) == ["1", "2", "0", "0"]
 
     def test_decode_like(self, spark):
-        df = texts(spark, ["On Hold", "Held", None]).select(decode_like(F.col("t"), {"On Hold": "1", "H%": "2"}, "0"))
-        assert one(df) == ["1", "2", "0"]
+        df = texts(spark, ["On Hold", "Held", None, "On Hold  "]).select(
+            decode_like(F.col("t"), {"On Hold": "1", "H%": "2"}, "0")
+        )
+        assert one(df) == ["1", "2", "0", "1"]
 
     def test_decode_rank_of_text_and_number(self, spark):
         df = texts(spark, ["1", "2", "0", "x", "", None, "10"])

@@ -93,7 +93,16 @@ def test_binary_and_numeric_hashes(spark):
     assert [r["HASH_VALUE"] for r in incremental_rows(batch, target, keys="ID", load_id=2).collect()] == ["02"]
     numeric = spark.createDataFrame([(1, 11), (2, 12)], "ID long, HASH_VALUE long")
     text = spark.createDataFrame([(1, 1, "11")], "ID long, B_LOADID long, HASH_VALUE string")
-    assert [r["HASH_VALUE"] for r in incremental_rows(numeric, text, keys="ID", load_id=2).collect()] == [12]
+    assert [r["HASH_VALUE"] for r in incremental_rows(numeric, text, keys="ID", load_id=2).collect()] == ["12"]
+    other = spark.createDataFrame([(1, 1, "old-style hash")], "ID long, B_LOADID long, HASH_VALUE string")
+    assert incremental_rows(numeric, other, keys="ID", load_id=2).count() == 2
+
+
+def test_binary_hash_column_in_target_is_refused(spark):
+    batch = spark.createDataFrame([(1, bytearray(b"\x01"))], "ID long, HASH_VALUE binary")
+    target = PathTarget(new_path(spark, "binary"), stamp_load_id(batch, 0).schema)
+    with pytest.raises(ValueError, match="as text or number"):
+        incremental_load(batch, target, keys="ID", load_id=1)
 
 
 def test_missing_columns_are_reported(spark):

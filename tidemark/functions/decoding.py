@@ -8,24 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def decode(col: Column, codes: Mapping[str, str], default: str | None = None) -> Column:
-    """The code for a value, compared exactly, else `default`. For lists short enough to read."""
-    branches = iter(codes.items())
-    value, code = next(branches)
-    case = F.when(col == value, F.lit(code))
-    for value, code in branches:
-        case = case.when(col == value, F.lit(code))
+def _case(conditions: list[tuple[Column, str]], default: str | None) -> Column:
+    (condition, code), *rest = conditions
+    case = F.when(condition, F.lit(code))
+    for condition, code in rest:
+        case = case.when(condition, F.lit(code))
     return case.otherwise(F.lit(default))
 
 
+def decode(col: Column, codes: Mapping[str, str], default: str | None = None, *, padded: bool = False) -> Column:
+    """The code for a value, else `default`. With `padded`, blanks at the end of the value are ignored."""
+    value = F.rtrim(col) if padded else col
+    return _case([(value == text, code) for text, code in codes.items()], default)
+
+
 def decode_like(col: Column, patterns: Mapping[str, str], default: str | None = None) -> Column:
-    """The code of the first LIKE pattern that matches, else `default`."""
-    branches = iter(patterns.items())
-    pattern, code = next(branches)
-    case = F.when(col.like(pattern), F.lit(code))
-    for pattern, code in branches:
-        case = case.when(col.like(pattern), F.lit(code))
-    return case.otherwise(F.lit(default))
+    """The code of the first LIKE pattern that matches the value less the blanks at its end, else `default`."""
+    value = F.rtrim(col)
+    return _case([(value.like(pattern), code) for pattern, code in patterns.items()], default)
 
 
 def decode_rank(col: Column, first: str, later: str, default: str) -> Column:

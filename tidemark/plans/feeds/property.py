@@ -28,11 +28,13 @@ def _owner():
 def units_feed(property_index: DataFrame, building: DataFrame, area: DataFrame) -> DataFrame:
     """Units of buildings that lie in a known area, with occupancy and floor decoded.
 
+    As in SQL Server, blanks at the end do not count when building names, states or floors are compared.
+
     Buildings and areas are joined first, so that the units, the largest of the three, move once.
     """
     located = building.join(area.select(F.col("ID").alias("_area")), F.col("area_") == F.col("_area"))
     u, b = property_index.alias("u"), located.alias("b")
-    joined = u.join(b, F.col("u.Building") == F.col("b.name_"))
+    joined = u.join(b, F.rtrim("u.Building") == F.rtrim("b.name_"))
     col = lambda name: F.col(f"u.`{name}`")
     return joined.select(
         F.lit("Units").alias("B_CLASSNAME"),
@@ -47,7 +49,7 @@ def units_feed(property_index: DataFrame, building: DataFrame, area: DataFrame)
         col("Postcode").alias("GEOPOSTCODE"),
         isnull_default(col("Bedrooms"), property_index.schema["Bedrooms"].dataType.simpleString()).alias("NO_OF_BEDROOMS"),
         decode_like(col("Property Status"), OCCUPANCY_CODES, UNKNOWN_CODE).alias("OCCUPANCY_STATUS"),
-        decode(col("Floor"), FLOOR_CODES, UNKNOWN_CODE).alias("FLOOR_LEVEL"),
+        decode(col("Floor"), FLOOR_CODES, UNKNOWN_CODE, padded=True).alias("FLOOR_LEVEL"),
         col("Comments").alias("ANY_OTHER_INFORMATION"),
         *_owner(),
         sha1_null_marked(

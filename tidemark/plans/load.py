@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.cleaning import nan_to_null
 from tidemark.functions.hashing import hash_to_string
@@ -29,20 +30,6 @@ def _with_columns_named(df: DataFrame, names: Sequence[str], what: str) -> DataF
     return df.withColumnsRenamed({found[n.lower()]: n for n in names if found[n.lower()] != n})
 
 
-def latest_hashes(
-    batch: DataFrame, target: DataFrame, keys: Sequence[str], *, load_col: str = LOAD_COLUMN, hash_col: str = HASH_COLUMN
-) -> DataFrame:
-    """Keys and hashes of the target's latest rows, the hash in the type of the batch's hash.
-
-    Only key, load id and hash are read from the target.
-    """
-    history = hash_to_string(target.select(*keys, load_col, hash_col), hash_col)
-    wanted, found = batch.schema[hash_col].dataType, history.schema[hash_col].dataType
-    if wanted != found:
-        history = history.withColumn(hash_col, F.col(hash_col).cast(wanted))
-    return latest_per_key(history, keys, load_col)
-
-
 def incremental_rows(
     batch: DataFrame,
     target: DataFrame,
@@ -55,6 +42,7 @@ def incremental_rows(
 ) -> DataFrame:
     """The rows a load would append: stamped with the load id, hash not among the target's latest, NaN as NULL.
 
+    The hash gets the type it has in the target, a binary one becoming hex text.
     With `match_on="hash"` a row is also dropped when another key's latest row has its hash; with
     "key_hash" only its own key's latest row counts. Rows deleted at the source are not detected.
     """
@@ -64,7 +52,12 @@ def incremental_rows(
     batch = _with_columns_named(batch, [*keys, hash_col], "batch")
     target = _with_columns_named(target, [*keys, load_col, hash_col], "target")
     stamped = hash_to_string(stamp_load_id(batch, load_id, load_col), hash_col)
-    latest = latest_hashes(stamped, target, keys, load_col=load_col, hash_col=hash_col)
+    # Only key, load id and hash are read from the target.
+    history = hash_to_string(target.select(*keys, load_col, hash_col), hash_col)
+    stored = history.schema[hash_col].dataType
+    if stamped.schema[hash_col].dataType != stored:
+        stamped = stamped.withColumn(hash_col, F.col(hash_col).cast(stored))
+    latest = latest_per_key(history, keys, load_col)
     fresh = hash_anti_join(stamped, latest, hash_col, keys=keys if match_on == "key_hash" else None)
     return nan_to_null(fresh)
 
@@ -97,12 +90,15 @@ def incremental_load(
     very rows compared. They come from the written files rather than from counters kept by tasks,
     which would count twice when a lost task is run again. `land=False` skips this for a source that
     is cheap to read twice and does not change. `delete_first` removes an earlier attempt with the
-    same load id; without it, a used id is an error.
+    same load id, such as one that failed half-way; without it, a used id is an error.
     """
     spark = batch.sparkSession
     if delete_first:
         delete_load(spark, target, load_id, load_col)
     own_load = F.col(load_col) == F.lit(load_id)
+    if any(f.name.lower() == hash_col.lower() and isinstance(f.dataType, T.BinaryType)
+           for f in target.columns(spark).fields):
+        raise ValueError(f"the target must store {hash_col} as text or number, since a binary hash is loaded as hex text")
     if not target.read(spark).where(own_load).isEmpty():
         raise ValueError(f"load {load_id} already has rows in the target")
 
