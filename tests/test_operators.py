@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark import FeedSpec, feed_counts, feeds_frame, load_specs, select_feeds
+from tidemark.operators.membership import rows_in, rows_not_in
 from tidemark.operators.numbering import global_row_number
 from tidemark.operators.profile import count_rows, describe_columns, view_profile
 from tidemark.operators.projection import (
@@ -90,6 +91,19 @@ class TestHashAntiJoin:
         assert rows(marked.where("is_new").drop("is_new")) == rows(hash_anti_join(batch, latest))
 
 
+class TestMembership:
+    def test_null_equals_nothing_in_a_semi_join(self, spark):
+        left = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (3, "d")], "k int, t string")
+        right = spark.createDataFrame([(1,), (1,), (None,)], "j int")
+        assert rows(rows_in(left, right, {"k": "j"}).select("t")) == [("a",), ("b",)]
+        assert rows(rows_not_in(left, right, {"k": "j"}).select("t")) == [("d",)]
+
+    def test_two_columns(self, spark):
+        left = spark.createDataFrame([(1, "a"), (1, None), (2, "a")], "k int, t string")
+        assert rows(rows_in(left, left.where("k = 1"), {"k": "k", "t": "t"})) == [(1, "a")]
+        assert rows(rows_not_in(left, left.where("k = 1"), {"k": "k", "t": "t"})) == [(2, "a")]
+
+
 class TestLoadIds:
     def test_next(self, spark):
         target = spark.createDataFrame([(3,), (None,), (7,)], "B_LOADID long")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
+from tidemark.operators.membership import rows_in
 from tidemark.operators.numbering import global_row_number, placed_rows
 from tidemark.operators.versions import hash_anti_join, latest_per_key, mark_new
 from tidemark.plans.feeds import communications_feed, key_value_feed, survey_findings
@@ -173,3 +174,19 @@ def test_contacts_join_once_and_a_hot_party_is_split(spark, skew_settings):
     feed = communications_feed(contacts, parties, current, as_of="2020-01-01", creator="t")
     assert "SortMergeJoin(skew=true)" in plan_of(feed)
     assert feed.count() == 60_000
+
+
+@pytest.mark.parametrize("hot_side", ["left", "right"])
+def test_hot_value_in_semi_join(spark, skew_settings, hot_side):
+    ids = materialise(spark.range(0, 60_000, 1, 8), "ids")
+    hot_rows = ids.select(hot("k", F.col("id")), F.sha2(F.col("id").cast("string"), 512).alias("payload"))
+    flat_rows = ids.select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("payload"))
+    if hot_side == "left":
+        kept = rows_in(hot_rows, flat_rows, {"k": "k"})
+        assert "SortMergeJoin(skew=true)" in plan_of(kept)
+        assert kept.count() == 60_000
+    else:
+        kept = rows_in(flat_rows, hot_rows, {"k": "k"})
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("HashAggregate") == 2, "the right side is reduced on the map side"
+        assert kept.count() == 40_001

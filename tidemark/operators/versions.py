@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.membership import mark_absent, rows_not_in
 from tidemark.specs import HASH_COLUMN, LOAD_COLUMN
 
 
@@ -44,14 +45,9 @@ def hash_anti_join(
 
     A NULL hash matches a NULL hash. By default the hash alone decides, whatever key it belongs to;
     with `keys`, key and hash must both match.
-
-    The seen hashes are made distinct first (aggregated on the map side), because the right side of
-    an anti join cannot be split when hot; the batch side can, and AQE does so.
     """
     match_on = [*(_names(keys) if keys else []), hash_col]
-    seen = latest.select(*[F.col(c).alias(f"_seen_{c}") for c in match_on]).distinct()
-    same = _all([batch[c].eqNullSafe(seen[f"_seen_{c}"]) for c in match_on])
-    return batch.join(seen, same, "left_anti")
+    return rows_not_in(batch, latest, {c: c for c in match_on})
 
 
 def next_load_id(
@@ -78,7 +74,4 @@ def mark_new(
     batch: DataFrame, latest: DataFrame, hash_col: str = HASH_COLUMN, out_col: str = "is_new"
 ) -> DataFrame:
     """Every row of `batch` with a flag that is true where `hash_anti_join` would keep it."""
-    seen = latest.select(F.col(hash_col).alias("_seen"), F.lit(True).alias("_known")).distinct()
-    return batch.join(seen, batch[hash_col].eqNullSafe(seen["_seen"]), "left").select(
-        *[batch[c] for c in batch.columns], F.col("_known").isNull().alias(out_col)
-    )
+    return mark_absent(batch, latest, {hash_col: hash_col}, out_col)

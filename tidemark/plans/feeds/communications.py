@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import Instant, as_timestamp, format_twelve_hour
 from tidemark.functions.decoding import decode, decode_rank
 from tidemark.functions.hashing import sha1_null_skipped
+from tidemark.operators.membership import rows_in
 from tidemark.operators.projection import active_at
 
 # Channel codes, precedence codes, and the constants of the staging table.
@@ -39,15 +40,14 @@ def current_parties(
     """Distinct ids of the parties to a lease assignment or a tenancy that is active at `as_of`."""
     as_of = as_timestamp(as_of)
     leases = lease_assignments.where(active_at(as_of, F.col("las_start_date"), F.col("las_end_date")))
-    lessees = lease_parties.join(
-        leases, F.col("las_lea_pro_refno") == F.col("lpt_las_lea_pro_refno"), "left_semi"
-    ).select(F.col("lpt_par_refno").alias("party"))
     running = tenancies.where(active_at(as_of, F.col("tcy_act_start_date"), F.col("tcy_act_end_date")))
-    instances = tenancy_instances.join(running, F.col("tcy_refno") == F.col("tin_tcy_refno"), "left_semi")
-    tenants = household_persons.join(
-        instances, F.col("hop_refno") == F.col("tin_hop_refno"), "left_semi"
-    ).select(F.col("hop_par_refno").alias("party"))
-    return lessees.unionByName(tenants).distinct()
+    lessees = rows_in(lease_parties, leases, {"lpt_las_lea_pro_refno": "las_lea_pro_refno"})
+    instances = rows_in(tenancy_instances, running, {"tin_tcy_refno": "tcy_refno"})
+    tenants = rows_in(household_persons, instances, {"hop_refno": "tin_hop_refno"})
+    parties = lessees.select(F.col("lpt_par_refno").alias("party")).unionByName(
+        tenants.select(F.col("hop_par_refno").alias("party"))
+    )
+    return parties.distinct()
 
 
 def communications_feed(
@@ -59,11 +59,9 @@ def communications_feed(
     contacts take part in a single join, in which AQE can split a party with very many of them.
     """
     as_of = as_timestamp(as_of)
-    wanted = parties.join(current, F.col("par_refno") == F.col("party"), "left_semi")
-    # No wanted party is NULL, so the null-safe comparison means equality. Its join keys differ from
-    # those of the semi join, which makes Spark exchange both sides anew: AQE only splits such a join.
+    wanted = rows_in(parties, current, {"par_refno": "party"})
     contacts = (
-        contact_details.join(wanted, F.col("par_refno").eqNullSafe(F.col("cde_par_refno")))
+        contact_details.join(wanted, F.col("cde_par_refno") == F.col("par_refno"))
         .select(
             F.col("cde_contact_value").alias("VALUE"),
             F.col("cde_contact_name").alias("COMMUNICATION_NAME"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.cleaning import concat_key
 from tidemark.functions.dates import Instant, as_timestamp, validity_window
 from tidemark.functions.hashing import row_hash
+from tidemark.operators.membership import rows_in
 from tidemark.operators.numbering import global_row_number
 from tidemark.operators.projection import not_in, union_all_padded
 
@@ -54,7 +55,7 @@ def survey_rows(asset: DataFrame, findings: DataFrame) -> DataFrame:
 
 
 def _of_known_assets(asset: DataFrame, findings: DataFrame) -> DataFrame:
-    return findings.join(asset.select("AssetID"), "AssetID", "left_semi")
+    return rows_in(findings, asset, {"AssetID": "AssetID"})
 
 
 def _constants(values: dict) -> list[Column]:

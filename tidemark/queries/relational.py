@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_timestamp
 from tidemark.functions.decoding import decode_lookup
+from tidemark.operators.membership import rows_in
 from tidemark.operators.numbering import global_row_number
 from tidemark.operators.profile import count_rows, describe_columns, view_profile
 from tidemark.operators.projection import active_at, constant_columns, not_in, positional_columns, project_rename
@@ -196,11 +197,9 @@ WHERE EXISTS (SELECT 1 FROM orders JOIN lineitem ON o_orderkey = l_orderkey
               WHERE o_custkey = c_custkey AND l_quantity >= 50 AND o_orderstatus = 'F')""")
 def q_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     bulk = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= 50)
-    buyers = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F").join(
-        bulk, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi"
-    )
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return customer.join(buyers, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    finished = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    buyers = rows_in(finished, bulk, {"o_orderkey": "l_orderkey"})
+    return rows_in(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), buyers, {"c_custkey": "o_custkey"})
 
 
 @query("""
@@ -212,10 +211,9 @@ def q_exists_or_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     large = orders.where(F.col("o_totalprice") > 490000).select("o_custkey")
     lines = table(spark, sf_dir, "lineitem").where((F.col("l_discount") >= 0.1) & (F.col("l_quantity") == 1))
-    cheap = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_custkey")
-    either = large.unionByName(cheap).distinct()
+    cheap = rows_in(orders, lines, {"o_orderkey": "l_orderkey"}).select("o_custkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return customer.join(either, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    return rows_in(customer, large.unionByName(cheap), {"c_custkey": "o_custkey"})
 
 
 @query("""
