@@ -91,6 +91,18 @@ class TestHashAntiJoin:
         assert rows(marked.where("is_new").drop("is_new")) == rows(hash_anti_join(batch, latest))
 
 
+    @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(
+        st.lists(st.one_of(st.none(), st.sampled_from("abcd")), max_size=12),
+        st.lists(st.one_of(st.none(), st.sampled_from("abcd")), max_size=6),
+    )
+    def test_against_brute_force(self, spark, hashes, seen):
+        batch = self.frame(spark, [(str(i), h) for i, h in enumerate(hashes)])
+        latest = self.frame(spark, [("z", h) for h in seen])
+        expected = [(str(i), h) for i, h in enumerate(hashes) if h not in seen]
+        assert rows(hash_anti_join(batch, latest)) == sorted(expected, key=str)
+
+
 class TestMembership:
     def test_null_equals_nothing_in_a_semi_join(self, spark):
         left = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (3, "d")], "k int, t string")
