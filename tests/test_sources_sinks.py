@@ -146,6 +146,20 @@ class TestSinks:
         append_by_name(spark.createDataFrame([(5, 5, "q")], SCHEMA), target)
         assert target.read(spark).count() == 1
 
+    @pytest.mark.parametrize("kind", ["path", "table"])
+    def test_delete_load_when_partitioned_by_something_else(self, spark, kind):
+        if kind == "path":
+            target = PathTarget(new_path(spark, "by-b"), SCHEMA, ("b",))
+        else:
+            target = TableTarget("sink_by_b", SCHEMA, ("b",))
+            target.create(spark)
+        append_by_name(spark.createDataFrame([(1, 1, "x"), (2, 2, "y"), (2, 3, "x")], SCHEMA), target)
+        delete_load(spark, target, 2)
+        # Partition y has no rows left and must be gone.
+        assert rows(target.read(spark).select("B_LOADID", "a", "b")) == [(1, 1, "x")]
+        if kind == "table":
+            spark.sql("DROP TABLE sink_by_b")
+
     def test_missing_path_is_empty(self, spark):
         target = PathTarget(new_path(spark, "absent"), SCHEMA)
         assert not target.exists(spark) and target.read(spark).isEmpty()

@@ -58,7 +58,16 @@ class TableTarget:
         df.write.insertInto(self.name)
 
     def overwrite(self, df: DataFrame) -> None:
-        df.write.option("partitionOverwriteMode", "static").insertInto(self.name, overwrite=True)
+        """Replace all rows by those of `df`, which must not read this table.
+
+        `INSERT OVERWRITE` would leave partitions without new rows as they are when the session's
+        overwrite mode is dynamic, so the table is emptied first.
+        """
+        self.truncate(df.sparkSession)
+        self.append(df)
+
+    def truncate(self, spark: SparkSession) -> None:
+        spark.sql(f"TRUNCATE TABLE {_quoted(self.name)}")
 
     def drop_load(self, spark: SparkSession, load_id: int, load_col: str) -> bool:
         if self.partitioned_by(spark) != (load_col,):
@@ -173,7 +182,8 @@ def delete_load(spark: SparkSession, target: Target, load_id: int, load_col: str
     """Delete the rows of one load.
 
     In a target partitioned by the load id this drops one partition. In any other, the remaining rows
-    are written beside it first and then replace it, since files cannot be edited in place.
+    are written beside it first and then replace it, since files cannot be edited in place; that copy is
+    kept in the shared folder if replacing them fails.
     """
     if not target.exists(spark) or target.drop_load(spark, load_id, load_col):
         return
@@ -186,6 +196,6 @@ def delete_load(spark: SparkSession, target: Target, load_id: int, load_col: str
 def truncate(spark: SparkSession, target: Target) -> None:
     """Remove all rows and keep the definition."""
     if isinstance(target, TableTarget):
-        spark.sql(f"TRUNCATE TABLE {_quoted(target.name)}")
+        target.truncate(spark)
     else:
         target.overwrite(empty_frame(spark, target.columns(spark)))
