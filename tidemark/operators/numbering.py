@@ -24,7 +24,8 @@ def global_row_number(
     """Number the rows 1..n in ascending order of `order_by`, NULL first.
 
     Ties are settled by `tie_break`, or else by all other columns. `distinct_rows` says that no two rows
-    agree in all of these; otherwise the frame is written once more (see `placed_rows`).
+    agree in all of these; otherwise the frame is written once more (see `placed_rows`). The range
+    sort samples its keys to the driver (a hundred per partition), so wide rows deserve a `tie_break`.
 
     `row_number()` over an unpartitioned window sends every row to one task. Here the rows are sorted
     globally and written with their place, and the number is a row's position in its sort partition

@@ -21,7 +21,7 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], version_col: str = LOAD_COLUMN) -> DataFrame:
-    """Rows whose version is the highest of their key. All rows tied at it are kept; rows without key or version are not.
+    """Rows whose version is the highest of their key; all rows tied at it, none without key or version.
 
     The maxima are aggregated on the map side, so a key with a third of all rows costs one row per
     map task. The rows then meet their maximum in a semi join on key **and** version: the versions of

@@ -98,7 +98,7 @@ def incremental_load(
     own_load = F.col(load_col) == F.lit(load_id)
     if any(f.name.lower() == hash_col.lower() and isinstance(f.dataType, T.BinaryType)
            for f in target.columns(spark).fields):
-        raise ValueError(f"the target must store {hash_col} as text or number, since a binary hash is loaded as hex text")
+        raise ValueError(f"the target must store {hash_col} as text or number: binary hashes are loaded as hex text")
     if not target.read(spark).where(own_load).isEmpty():
         raise ValueError(f"load {load_id} already has rows in the target")
 
