@@ -76,13 +76,15 @@ def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     Against it, the batch has unseen orders (2001), changed ones (finished, lower priority), unchanged
     ones, and some whose opening version is superseded.
     """
-    opening = order_opening(spark, sf_dir).select(F.lit(1).cast("bigint").alias("B_LOADID"), "ORDERS_ID", "HASH_VALUE")
-    reload = order_batch(spark, sf_dir).where(
-        (F.col("o_orderdate") < F.lit(OPENING_CUT).cast("timestamp_ntz"))
-        & (F.col("o_orderstatus") == "F")
-        & F.col("o_orderpriority").isin(*RELOADED)
-    ).select(F.lit(2).cast("bigint").alias("B_LOADID"), "ORDERS_ID", "HASH_VALUE")
-    return opening.unionByName(reload)
+    status = F.col("o_orderstatus")
+    version = lambda load_id, hash_value: F.struct(
+        F.lit(load_id).cast("bigint").alias("B_LOADID"), hash_value.alias("HASH_VALUE")
+    )
+    first = version(1, _content(F.when(status == "F", F.lit("O")).otherwise(status)))
+    reloaded = (status == "F") & F.col("o_orderpriority").isin(*RELOADED)
+    versions = F.when(reloaded, F.array(first, version(2, _content(status)))).otherwise(F.array(first))
+    opened = table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(OPENING_CUT).cast("timestamp_ntz"))
+    return opened.select(F.col("o_orderkey").alias("ORDERS_ID"), F.inline(versions))
 
 
 SQL_ORDER_HISTORY = f"""
