@@ -6,7 +6,6 @@ The files outlive any executor, and readers touch only the columns they need.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,15 +18,11 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; where it is unset, a temporary one in local mode only."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    """The folder named by `spark.checkpoint.dir`; where it is unset, one below the session's warehouse."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidemark"
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
