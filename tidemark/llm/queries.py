@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, langid, packing, quality
+from tidemark.llm import decontaminate, langid, packing, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_pii_sanitisation(spark, sf_dir):
+    """The personal data of every document, and the words that give it away."""
+    return pii.find_spans(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_best_fit_packing(spark, sf_dir):
     """Every document's pieces with their places in sequences of 4096 tokens."""
