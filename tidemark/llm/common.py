@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 256
+WORD = re.compile(r"\w+")
+CACHE_WORDS = 400_000
+BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def fold(key: Column, of: int) -> Column:
@@ -41,3 +47,25 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 def key_and_text(docs: DataFrame) -> DataFrame:
     """The two columns most operators need, whatever else the table has."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered up to a bound."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        b = word.encode("utf-8", "surrogatepass")
+        value = self[word] = zlib.crc32(b) << 32 | zlib.crc32(b, 0x5BD1E995)
+        return value
+
+
+def running_hashes(ids: np.ndarray, length: int) -> np.ndarray:
+    """Karp-Rabin hashes, modulo 2**64, of all runs of `length` words."""
+    n = len(ids) - length + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    total = np.zeros(n, np.uint64)
+    for i in range(length):
+        total = total * BASE + ids[i : i + n]
+    return total ^ (total >> np.uint64(29))

@@ -15,8 +15,6 @@ repeated in the benchmark counts each time. Without items no document is contami
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,34 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import key_and_text, slices, texts_of
+from tidemark.llm.common import WORD, WordHashes, key_and_text, running_hashes, slices, texts_of
 
 MIN_RUN = 5
 COVERAGE = 0.5
 BLOCK_CHARS = 16_000_000  # text of the items compared at once
-WORD = re.compile(r"\w+")
-CACHE_WORDS = 400_000
-BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        b = word.encode("utf-8", "surrogatepass")
-        value = self[word] = zlib.crc32(b) << 32 | zlib.crc32(b, 0x5BD1E995)
-        return value
-
-
-def running_hashes(ids: np.ndarray, length: int) -> np.ndarray:
-    """Karp-Rabin hashes, modulo 2**64, of all runs of `length` words."""
-    n = len(ids) - length + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for i in range(length):
-        total = total * BASE + ids[i : i + n]
-    return total ^ (total >> np.uint64(29))
 
 
 class Items:
