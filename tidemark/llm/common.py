@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,14 +49,18 @@ def key_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def word_hash(word: bytes) -> int:
+    """A 64-bit hash of a word."""
+    return xxhash.xxh3_64_intdigest(word)
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        b = word.encode("utf-8", "surrogatepass")
-        value = self[word] = zlib.crc32(b) << 32 | zlib.crc32(b, 0x5BD1E995)
+        value = self[word] = word_hash(word.encode("utf-8", "surrogatepass"))
         return value
 
 

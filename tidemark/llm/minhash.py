@@ -20,14 +20,13 @@ stays. Rows without a key belong to classes like others, and NULL sorts last whe
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, WordHashes, key_and_text, running_hashes, slices, texts_of
+from tidemark.llm.common import WORD, WordHashes, key_and_text, running_hashes, slices, texts_of, word_hash
 from tidemark.llm.graph import connected_components
 from tidemark.workspace import materialise
 
@@ -104,8 +103,7 @@ class Shingler:
         if word in self.place:
             return self.place[word]
         at = self.place[word] = len(self.place)
-        b = word.encode("utf-8", "surrogatepass")
-        hash_ = zlib.crc32(b) << 32 | zlib.crc32(b, 0x5BD1E995)
+        hash_ = word_hash(word.encode("utf-8", "surrogatepass"))
         self.hash[at], self.weight[at] = hash_, self.frequencies.get(hash_, self.rest)
         return at
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, langid, minhash, packing, pii, quality
+from tidemark.llm import decontaminate, langid, lm, minhash, packing, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +39,12 @@ def op5_benchmark_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_lm_scoring(spark, sf_dir):
+    """Unigram and model scores of every document."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_minhash_near_duplicates(spark, sf_dir):
     """The class of near duplicates of every document, and whether the document stays."""
