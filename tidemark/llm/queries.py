@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, langid, lm, minhash, packing, pii, quality, vectors
+from tidemark.llm import decontaminate, html, langid, lm, minhash, packing, pii, quality, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,6 +33,12 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_html_extraction(spark, sf_dir):
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_embedding_near_duplicates(spark, sf_dir):
     """The links and the component of every vector."""
