@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html, langid, lm, minhash, packing, pii, quality, vectors
+from tidemark.llm import decontaminate, html, langid, lm, minhash, packing, pii, quality, substrings, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -70,6 +70,12 @@ def op8_quality_classifier(spark, sf_dir):
     return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op9_substring_duplicates(spark, sf_dir):
+    """Passages of fifty words and more that documents share, exactly or nearly."""
+    return substrings.repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_language_id(spark, sf_dir):
     """The language of every document."""
