@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemark.llm import decontaminate, html, langid, lm, minhash, packing, pii, quality, substrings, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,9 @@ def op10_language_id(spark, sf_dir):
     """The language of every document."""
     docs = table(spark, sf_dir, "documents")
     return langid.predict_documents(docs, langid.train(docs))
+
+
+@query
+def pipeline(spark, sf_dir):
+    """Quality, near duplicates, benchmark passages, personal data, packing, one after the other."""
+    return corpus_pipeline.run(spark, sf_dir)
