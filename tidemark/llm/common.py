@@ -73,3 +73,46 @@ def running_hashes(ids: np.ndarray, length: int) -> np.ndarray:
     for i in range(length):
         total = total * BASE + ids[i : i + n]
     return total ^ (total >> np.uint64(29))
+
+
+BUCKETS = 4096
+
+
+def bounded_sample(rows: DataFrame, place: Column, most: int) -> DataFrame:
+    """At most `most` rows, the same ones for the same rows: those whose hash `place` falls into the first buckets.
+
+    Only numbers of rows per bucket come to the driver, so no task and not the driver sees more than a bounded number.
+    """
+    shift = 0
+    while True:
+        bucket = F.pmod(F.shiftright(place, shift), F.lit(BUCKETS))
+        sizes = sorted(rows.groupBy(bucket.alias("bucket")).count().collect())
+        total, cut = 0, 0
+        for number, size in sizes:
+            total += size
+            if total > most:
+                break
+            cut = number + 1
+        if total <= most:
+            return rows
+        if cut or shift >= 48:
+            return rows.where(bucket < cut)
+        rows, shift = rows.where(bucket == sizes[0][0]), shift + 12
+
+
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of `counts` with the largest n, at most `most` of them; rows with equal n stay or go together.
+
+    A row's n is looked up in a histogram of bounded size, exact for small n and logarithmic for large.
+    """
+    n = F.col("n").cast("double")
+    step = F.when(n < BUCKETS, n).otherwise(BUCKETS + F.floor(F.log2(n / BUCKETS) * 64)).cast("long")
+    total, least = 0, None
+    for number, size in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
+        total += size
+        if total > most:
+            break
+        least = number
+    if total <= most:
+        return counts
+    return counts.where(step >= least) if least is not None else counts.where(F.lit(False))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, texts_of
+from tidemark.llm.common import bounded_sample, slices, texts_of
 
 SAMPLE_PAGES = 400
 SAMPLE_BLOCKS = 120  # of a sample page at most
@@ -309,16 +309,16 @@ def _examples(batches):
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Labeller:
-    """A labeller from at most `sample_pages` pages, those whose keys have the smallest hashes.
+    """A labeller from at most `sample_pages` pages, chosen by the hashes of their keys.
 
     At most three layouts of `SAMPLE_BLOCKS` blocks or so of each come to the driver, which fits the model.
     """
     place = F.xxhash64("page_id")
-    chosen = pages.select("page_id", place.alias("place")).where(F.col("page_id").isNotNull()).distinct()
-    chosen = chosen.orderBy("place", "page_id").limit(sample_pages)
+    chosen = pages.select("page_id").where(F.col("page_id").isNotNull()).distinct()
+    chosen = bounded_sample(chosen, place, sample_pages).select("page_id", place.alias("place"))
     # Bounded by `sample_pages` narrow rows.
     rows = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").select("place", "html")
-    found = rows.mapInArrow(_examples, "x binary, y binary").orderBy(F.xxhash64("x")).limit(3 * sample_pages).collect()
+    found = sorted(rows.mapInArrow(_examples, "x binary, y binary").dropDuplicates().collect())
     labeller = Labeller()
     examples = [(np.frombuffer(r["x"], np.float32).reshape(-1, SIZE), np.frombuffer(r["y"], np.uint8)) for r in found]
     if examples:

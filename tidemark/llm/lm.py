@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, key_and_text, slices, texts_of, trainable, word_hash
+from tidemark.llm.common import held_out, key_and_text, most_frequent, slices, texts_of, trainable, word_hash
 from tidemark.workspace import materialise
 
 FOLDS, HELD_OUT_FOLD = 7, 2
@@ -83,7 +83,7 @@ class Vocabulary:
     def __init__(self, counts: DataFrame):
         total = counts.agg(F.sum("n"), F.count("*")).first()
         self.n, self.v = int(total[0] or 0), int(total[1])
-        top = counts.orderBy(F.desc("n"), "token").limit(TABLE_TOKENS).toPandas()
+        top = most_frequent(counts, TABLE_TOKENS).toPandas().sort_values(["n", "token"], ascending=[False, True])
         hashes = top["token"].to_numpy().view(np.uint64).tolist()
         self.count = dict(zip(hashes, top["n"].tolist()))
         self.symbol = {h: i for i, h in enumerate(hashes[:SYMBOLS])}

@@ -2,7 +2,7 @@
 
 A document is the multiset of its five-word shingles (lower-cased words). A shingle weighs its count times the mean
 inverse document frequency of its words; frequencies come from all documents, and words beyond the `FREQUENT_WORDS` most
-frequent share the frequency of the last of these. Improved consistent weighted sampling draws `BANDS * ROWS` shingles
+frequent share the frequency of the rarest of these. Improved consistent weighted sampling draws `BANDS * ROWS` shingles
 with probability proportional to weight; documents that agree in all draws of a band meet in a bucket.
 
 Documents that meet, directly or through others, form a candidate group. Within a group every pair that shares a bucket
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, WordHashes, key_and_text, running_hashes, slices, texts_of, word_hash
+from tidemark.llm.common import WORD, WordHashes, key_and_text, most_frequent, running_hashes, slices, texts_of, word_hash
 from tidemark.llm.graph import connected_components
 from tidemark.workspace import materialise
 
@@ -65,10 +65,12 @@ def inverse_frequencies(docs: DataFrame) -> tuple[dict[int, float], float]:
     """
     total = docs.count()
     counts = key_and_text(docs).select("text").mapInArrow(_document_counts, "word long, n long")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).toPandas()
+    counts = materialise(counts.groupBy("word").agg(F.sum("n").alias("n")), "frequencies")
+    frequent = most_frequent(counts, FREQUENT_WORDS)
+    counts = frequent.toPandas()
     n = counts["n"].to_numpy()
     weight = np.log1p(total / np.maximum(1, n))
-    rest = float(weight[-1]) if len(n) == FREQUENT_WORDS else float(np.log1p(total))
+    rest = float(weight.max()) if len(n) else float(np.log1p(total))
     return dict(zip(counts["word"].to_numpy().view(np.uint64).tolist(), weight.tolist())), rest
 
 
@@ -270,7 +272,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     key = F.struct(F.col("doc_id").isNull().alias("no_key"), "doc_id", "text_hash")
     first = rows.groupBy("class").agg(F.min(key).alias("first"))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
-    return rows.join(first, "class").select("doc_id", "text_hash", F.col("first.doc_id").alias("class_id"), same.alias("kept"))
+    # Compared null-safe, the join has keys of its own and its left side is split where a class is large.
+    rows = rows.join(first.withColumnRenamed("class", "of"), F.col("class").eqNullSafe(F.col("of")))
+    return rows.select("doc_id", "text_hash", F.col("first.doc_id").alias("class_id"), same.alias("kept"))
 
 
 def deduplicate(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, key_and_text, slices, texts_of, trainable
+from tidemark.llm.common import bounded_sample, held_out, key_and_text, slices, texts_of, trainable
 
 BITS = 18
 WORD = re.compile(r"\w+|[^\w\s]+")
@@ -122,16 +122,13 @@ def clean_labels(labels: DataFrame, column: str = "quality") -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, column: str = "quality") -> np.ndarray:
     """Weights, the bias last, from at most `sample_rows` labelled documents outside the held-out fold.
 
-    The sample is the documents with the smallest hashes of their keys, so it is the same for the same rows.
+    The sample follows from the hashes of the documents' keys, so it is the same for the same rows.
     Only the weights, at most 2**18 + 1 numbers, come to the driver.
     """
     place = F.xxhash64("doc_id")
-    sample = (
-        clean_labels(labels, column)
-        .where(trainable(F.col("doc_id"), FOLDS, HELD_OUT_FOLD))
-        .select("doc_id", "label", place.alias("place"), F.pmod(place, F.lit(SHARDS)).cast("int").alias("shard"))
-        .orderBy("place", "doc_id").limit(sample_rows)
-    )
+    known = clean_labels(labels, column).where(trainable(F.col("doc_id"), FOLDS, HELD_OUT_FOLD))
+    sample = bounded_sample(known, place, sample_rows).select(
+        "doc_id", "label", place.alias("place"), F.pmod(F.shiftright(place, 40), F.lit(SHARDS)).cast("int").alias("shard"))
     # At most `sample_rows` narrow rows are broadcast.
     examples = key_and_text(docs).join(F.broadcast(sample), "doc_id").select("shard", "place", "label", "text")
     examples = examples.mapInArrow(

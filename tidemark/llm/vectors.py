@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import bounded_sample, slices
 from tidemark.llm.graph import connected_components
 from tidemark.workspace import materialise
 
@@ -75,9 +75,9 @@ def nodes(vectors: DataFrame) -> DataFrame:
 def pivots(found: DataFrame, n: int) -> dict[int, list[list[float]]]:
     """A sample of at most `MOST_PIVOTS` vectors, by vector size."""
     most = min(MOST_PIVOTS, max(16, math.isqrt(4 * n)))
-    sample = found.select(F.xxhash64("node").alias("place"), "node", "embedding").orderBy("place", "node").limit(most)
+    sample = bounded_sample(found.select("node", "embedding"), F.xxhash64("node"), most)
     out: dict[int, list[list[float]]] = {}
-    for row in sample.collect():
+    for row in sorted(sample.collect(), key=lambda row: row["node"]):
         out.setdefault(len(row["embedding"]), []).append(row["embedding"])
     return out
 
