@@ -23,7 +23,7 @@ from tidemark.plans.feeds import (
     units_feed,
 )
 from tidemark.plans.feeds.communications import current_parties
-from tidemark.plans.feeds.inspections import HASHED
+from tidemark.plans.feeds.inspections import inspections_bad_dates, HASHED
 from tidemark.plans.feeds.residents import COLUMNS, DATES, residents_bad_dates
 
 NOW = dt.datetime(2019, 3, 15, 14, 5, 6)
@@ -196,7 +196,9 @@ def test_inspections(spark):
     assert (first["FD_CONTRACTOR_INSP"], first["FD_CONTRACTOR_CLEANING"], first["GROUNDS_TEAM"]) == ("21", "4", "T1")
     assert (second["FD_CONTRACTOR_INSP"], second["FD_CONTRACTOR_CLEANING"], second["GROUNDS_TEAM"]) == ("1", "21", "")
     assert second["STAFF_GROUNDS_LASTDATE"] == dt.date(2019, 3, 4)
-    assert {first["GROUNDS_DUE"], second["GROUNDS_DUE"], second["CLEANING_DUE"]} == {dt.date(1900, 1, 1)}
+    assert {first["GROUNDS_DUE"], second["GROUNDS_DUE"]} == {dt.date(1900, 1, 1)} and second["CLEANING_DUE"] is None
+    bad = inspections_bad_dates(view).first().asDict()
+    assert bad.pop("cleaning_due") == 1 and set(bad.values()) == {0}
     assert first["PRIORITY"] == "" and len(feed["p1"]) == 24
 
 

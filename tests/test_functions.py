@@ -13,6 +13,7 @@ from tidemark.functions.cleaning import (
     equals_padded,
     isnull_default,
     nan_to_null,
+    pad_left,
     rtrim_text,
 )
 from tidemark.functions.dates import (
@@ -24,7 +25,7 @@ from tidemark.functions.dates import (
     validity_window,
 )
 from tidemark.functions.decoding import decode, decode_like, decode_lookup, decode_rank
-from tidemark.functions.hashing import hash_to_string, row_hash, sha1_null_marked, sha1_null_skipped
+from tidemark.functions.hashing import hash_to_string, row_hash, sha1_null_marked, sha1_null_skipped, zone_free
 
 
 def one(df):
@@ -167,8 +168,36 @@ class TestDates:
         ]
 
     def test_text_to_date(self, spark):
-        df = texts(spark, ["2019-03-04  ", "   ", "soon", None, "2019-02-30"]).select(text_to_date(F.col("t")))
-        assert one(df) == [dt.date(2019, 3, 4), dt.date(1900, 1, 1), None, None, None]
+        forms = ["2019-03-04  ", "20190304", "4 Mar 2019", "Mar  4 2019 12:00AM", "2019-03-04 01:02:03.000"]
+        df = texts(spark, [*forms, "   ", "soon", None, "2019-02-30", "2019"]).select(text_to_date(F.col("t")))
+        assert one(df) == [dt.date(2019, 3, 4)] * 5 + [dt.date(1900, 1, 1), None, None, None, None]
+
+    def test_dates_written_out(self, spark):
+        forms = ["04-MARCH-2019 02:03:04", "04/MAR/2019 02:03:04", "4.March.2019 02:03:04", "04-MARZ-2019", "04-MARCHING-2019"]
+        df = texts(spark, forms).select(parse_oracle_date(F.col("t")))
+        assert one(df) == [dt.datetime(2019, 3, 4, 2, 3, 4)] * 3 + [None, None]
+
+    def test_row_hash_does_not_depend_on_the_zone(self, spark):
+        found = set()
+        for zone in ("UTC", "Europe/London", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.range(1).select(F.timestamp_seconds(F.lit(1000000000)).alias("at"), F.lit("x").alias("t"))
+            found.add(zone_free(df).select(row_hash("at", "t")).first()[0])
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert len(found) == 1
+
+    def test_longer_text_is_not_cut(self, spark):
+        assert one(texts(spark, ["7", "123456789012"]).select(pad_left(F.col("t"), 9, "0"))) == ["000000007", "123456789012"]
+
+    def test_lookup_with_repeated_values(self, spark):
+        lookup = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "2")], "v string, c string")
+        df = texts(spark, ["a", "b", "z"]).withColumn("value", F.lit("mine")).withColumn("_code", F.lit("kept"))
+        found = decode_lookup(df, lookup, "v", "c", "code", on="t", default="0").collect()
+        assert sorted((r["t"], r["value"], r["_code"], r["code"]) for r in found) == [
+            ("a", "mine", "kept", "1"), ("b", "mine", "kept", "2"), ("z", "mine", "kept", "0")]
+        clash = spark.createDataFrame([("a", "1"), ("a", "2")], "v string, c string")
+        with pytest.raises(Exception, match="two codes"):
+            decode_lookup(df, clash, "v", "c", "code", on="t", default="0").collect()
 
 
 class TestDecoding:

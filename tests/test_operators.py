@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,7 +11,9 @@ from pyspark.sql import functions as F
 from tidemark import FeedSpec, feed_counts, feeds_frame, load_specs, select_feeds
 from tidemark.operators.membership import rows_in, rows_not_in
 from tidemark.operators.numbering import global_row_number
-from tidemark.operators.profile import count_rows, describe_columns, view_profile
+from tidemark.sinks.schema import create_like
+from tidemark.workspace import intermediates, shared_folder
+from tidemark.operators.profile import count_rows, describe_columns, null_profile, view_profile
 from tidemark.operators.projection import (
     active_at,
     constant_columns,
@@ -153,6 +157,20 @@ class TestNumbering:
         df = spark.createDataFrame([], "k string, n int")
         assert global_row_number(df, ["k"], "id").isEmpty()
 
+    def test_columns_of_any_name_are_kept(self, spark):
+        df = spark.createDataFrame([(i % 3, 9, 8, 7, 6, 5) for i in range(50)], "k int, _part int, _place int, _copy int, _offset int, `row` int")
+        found = global_row_number(df, ["k"], "n")
+        assert {tuple(r[2:]) for r in found.collect()} == {(9, 8, 7, 6, 5)}
+        assert sorted(r["n"] for r in found.collect()) == list(range(1, 51))
+
+    def test_nothing_is_left_behind(self, spark):
+        folder = Path(shared_folder(spark).removeprefix("file:"))
+        before = set(folder.iterdir())
+        with intermediates(spark):
+            assert global_row_number(spark.range(9).selectExpr("id % 2 AS k"), ["k"], "n").count() == 9
+            assert len(set(folder.iterdir()) - before) == 1
+        assert set(folder.iterdir()) == before
+
     def test_lost_lineage_is_not_needed(self, spark):
         numbered = global_row_number(spark.range(50), [-F.col("id")], "n")
         plan = numbered._jdf.queryExecution().optimizedPlan().toString()
@@ -194,7 +212,20 @@ class TestProfile:
         df = spark.createDataFrame([(1, None), (2, "x")], "`a.b` int, c string")
         assert rows(count_rows(df)) == [(2,)]
         assert rows(view_profile({"v": df, "w": df.where("false")})) == [("v", 2, 2, "a.b, c"), ("w", 0, 2, "a.b, c")]
-        assert rows(describe_columns(df)) == [(0, "a.b", "int", False), (1, "c", "string", True)]
+        assert rows(describe_columns(df).drop("nullable")) == [(0, "a.b", "int", None), (1, "c", "string", None)]
+        assert rows(null_profile(df)) == [("a.b", 0), ("c", 1)]
+
+    def test_declared_columns(self, spark):
+        spark.sql("CREATE TABLE declared (a INT NOT NULL, b VARCHAR(2000), c INT DEFAULT 7) USING parquet")
+        found = rows(describe_columns(spark.table("declared"), "declared"))
+        assert [r[:3] for r in found] == [(0, "a", "int"), (1, "b", "string"), (2, "c", "int")] and found[2][4] == "7"
+        made = create_like(spark, spark.table("declared").schema, "declared")
+        declared = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE {made.name}").collect()}
+        assert declared["b"] == "varchar(1000)"
+        with pytest.raises(Exception, match="(?i)length|limitation"):
+            made.append(spark.sql("SELECT 1, repeat('x', 1500), 2"))
+        for name in ("declared", "_declared"):
+            spark.sql(f"DROP TABLE {name}")
 
 
 class TestSpecs:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
+from tidemark.queries import QUERIES
 from tidemark.operators.membership import rows_in
 from tidemark.operators.numbering import global_row_number, placed_rows
 from tidemark.operators.versions import hash_anti_join, latest_per_key, mark_new
@@ -107,7 +108,7 @@ def test_row_number_has_no_single_task_stage_over_rows(spark):
 
 
 def _sort_partitions(placed):
-    return placed.select(F.shiftright("_place", 33).alias("p")).groupBy("p").count().collect()
+    return placed.select(F.shiftright("place", 33).alias("p")).groupBy("p").count().collect()
 
 
 @pytest.mark.parametrize("what", ["leading value", "copies"])
@@ -119,7 +120,7 @@ def test_row_number_spreads_hot_ties(spark, what):
         placed = placed_rows(rows, ["k"], distinct_rows=what == "leading value")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(_sort_partitions(placed.where("k = 0"))) > 1
+    assert len(_sort_partitions(placed.where("row.k = 0"))) > 1
     assert max(r["count"] for r in _sort_partitions(placed)) < 40_000 / 3
 
 
@@ -136,7 +137,7 @@ def test_load_reads_only_key_load_and_hash_of_the_target(spark, tmp_path):
     assert fresh.count() == 50
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, name):
     plan = spark_entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):

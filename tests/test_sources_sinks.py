@@ -59,6 +59,23 @@ class TestJdbc:
             "id", "1", "900", "64"
         )
 
+    @pytest.mark.parametrize("text, relation, prepare", [
+        ("withdrawals", "withdrawals", None),
+        ("-- the view\nSELECT 1 x", "(SELECT 1 x) src", None),
+        ("/* a */ WITH a AS (SELECT ')' x) SELECT * FROM a;", "(SELECT * FROM a) src", "WITH a AS (SELECT ')' x)"),
+    ])
+    def test_statements_and_names(self, text, relation, prepare):
+        options = jdbc_options(SQLSERVER, text)
+        assert options["dbtable"] == relation and options.get("prepareQuery") == prepare
+        assert options["preferTimestampNTZ"] == "true"
+        assert "prepareQuery" not in jdbc_options(ORACLE, text)
+
+    def test_a_feed_says_how_its_read_is_split(self):
+        by_hash = source_for(FeedSpec("T", "c", 1, "ID", statement="v", split_column="ID"), {"c": SQLSERVER})
+        assert (by_hash.hash_column, by_hash.hash_partitions, by_hash.partitioning) == ("ID", 32, None)
+        ranges = FeedSpec("T", "c", 1, "ID", statement="v", split_column="ID", split_parts=8, split_lower="1", split_upper="99")
+        assert source_for(ranges, {"c": SQLSERVER}).partitioning == range_partitioning("ID", 1, 99, 8)
+
     def test_hash_predicates_cover_all_parts(self):
         assert hash_predicates("oracle", "id", 3) == [f"ORA_HASH(id, 2) = {i}" for i in range(3)]
         assert len(set(hash_predicates("sqlserver", "id", 5))) == 5

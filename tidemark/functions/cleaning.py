@@ -30,6 +30,11 @@ def rtrim_text(col: Column) -> Column:
     return F.rtrim(col.cast("string"))
 
 
+def pad_left(col: Column, width: int, fill: str) -> Column:
+    """Text filled up on its left to at least `width`; longer text is kept whole."""
+    return F.lpad(col, F.greatest(F.lit(width), F.length(col)), F.lit(fill))
+
+
 def blank_to_null(col: Column) -> Column:
     """NULL where the text is empty or all blanks."""
     return F.when(F.rtrim(col) != "", col)

@@ -1,6 +1,6 @@
 """Dates: validity windows, day-month-name texts, and text clean-up.
 
-Times are zone-less (`timestamp_ntz`) throughout, so no result depends on the session's time zone.
+Times are zone-less (`timestamp_ntz`) throughout, so no result here depends on the session's time zone.
 The current time is an argument: a caller passes one `as_of` for the whole load.
 """
 
@@ -11,8 +11,19 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Month names, and the form `DD-MON-RRRR HH:MI:SS` with a four-digit year, time part optional.
+# Month names, the forms of a date that text columns hold, and the form `DD-MON-RRRR HH:MI:SS` with a four-digit year, time part optional.
 MONTHS = ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"]
+MONTH_NAMES = (
+    "JAN(?:UARY)?|FEB(?:RUARY)?|MAR(?:CH)?|APR(?:IL)?|MAY|JUNE?|JULY?|AUG(?:UST)?|SEP(?:TEMBER)?|OCT(?:OBER)?|"
+    "NOV(?:EMBER)?|DEC(?:EMBER)?"
+)
+TEXT_DATES = [
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
+]
+TIME_OF_DAY = r" \d{1,2}:\d{2}(?::\d{2})?(?:[.:]\d+)? ?(?:[AaPp][Mm])?$"
 DAY_MONTH_NAME = r"^(\d{1,2})-([A-Z]{3})-(\d{4})(?: +((?:0?[1-9]|1[0-2]):\d{1,2}:\d{1,2}))?$"
 
 VALID_DAYS_BACK = 1
@@ -50,7 +61,10 @@ def parse_oracle_date(col: Column, *, current_year: int = 2000, strict: bool = F
     century = current_year // 100
     low, high = (century + 1, century) if current_year % 100 >= 50 else (century, century - 1)
 
-    text = F.upper(F.trim(col))
+    # Any punctuation may part the date, and months may be written out.
+    text = F.regexp_replace(
+        F.upper(F.trim(col)),
+        rf"^(\d{{1,2}})[-/., ]+(?=(?:{MONTH_NAMES})[-/., ])([A-Z]{{3}})[A-Z]*[-/., ]+(\d{{2}}|\d{{4}})(?= |$)", "$1-$2-$3")
     text = F.regexp_replace(text, r"(?<=-)(?=[0-4]\d(?: |$))", str(low))
     text = F.regexp_replace(text, r"(?<=-)(?=[5-9]\d(?: |$))", str(high))
     # Year first, the month name marked by small letters, which no text has that does not match.
@@ -79,6 +93,19 @@ def format_twelve_hour(ts: Column) -> Column:
 
 
 def text_to_date(col: Column) -> Column:
-    """Padded text as a date; blank text is 1900-01-01, as in SQL Server, and other text NULL."""
-    trimmed = F.rtrim(col.cast("string"))
-    return F.when(trimmed == "", F.to_date(F.lit("1900-01-01"))).otherwise(F.try_to_date(trimmed))
+    """Padded text as a date; blank text is 1900-01-01, as in SQL Server, and text that is no date NULL.
+
+    Taken are `2001-03-15`, `20010315`, `15 Mar 2001` and `Mar 15 2001`, each with or without a time of day,
+    which is what a date or time turned into text looks like there.
+    """
+    text = F.regexp_replace(F.trim(col.cast("string")), " +", " ")
+    text = F.regexp_replace(text, TIME_OF_DAY, "")
+    case = F.when(text == "", F.to_date(F.lit("1900-01-01")))
+    for pattern, form in TEXT_DATES:
+        case = case.when(text.rlike(pattern), F.try_to_date(text, form))
+    return case
+
+
+def text_or_default_date(col: Column) -> Column:
+    """`text_to_date`, NULL like blank text being 1900-01-01; text that is no date stays NULL and can be counted."""
+    return F.when(col.isNull(), F.to_date(F.lit("1900-01-01"))).otherwise(text_to_date(col))

@@ -8,6 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _case(conditions: list[tuple[Column, str]], default: str | None) -> Column:
     (condition, code), *rest = conditions
     case = F.when(condition, F.lit(code))
@@ -42,12 +50,17 @@ def decode_lookup(
 ) -> DataFrame:
     """Add `out_col`, the code that `lookup` gives for `df[on]`, or `default` where it has none.
 
-    `lookup` must hold each value once. No broadcast is forced: Spark broadcasts the lookup if its
+    A value that `lookup` holds twice with the same code counts once; with different codes it is an error when the
+    join runs. The input's own columns are kept whatever they are called. No broadcast is forced: Spark broadcasts the lookup if its
     size is below the session's threshold and shuffles otherwise.
     """
-    codes = lookup.select(F.col(value_col).alias("_value"), F.col(code_col).alias("_code"))
-    return (
-        df.join(codes, F.col(on) == F.col("_value"), "left")
-        .withColumn(out_col, F.coalesce("_code", F.lit(default)))
-        .drop("_value", "_code")
-    )
+    codes = lookup.groupBy(F.col(value_col).alias("value")).agg(
+        F.min(code_col).alias("low"), F.max(code_col).alias("high"))
+    clash = F.raise_error(F.concat(F.lit("two codes for one value of the lookup: "), F.col("value").cast("string")))
+    codes = codes.select(F.struct(
+        "value", F.when(F.col("low") == F.col("high"), F.col("low")).when(F.col("low").isNotNull(), clash).alias("code")
+    ).alias(unused_name(df, "lookup")))
+    found = codes.columns[0]
+    code = F.coalesce(codes[found]["code"], F.lit(default)).alias(out_col)
+    joined = df.join(codes, df[on] == codes[found]["value"], "left")
+    return joined.select(*[df[c] for c in df.columns if c != out_col], code)

@@ -18,11 +18,25 @@ def _as_column(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def zone_free(df: DataFrame) -> DataFrame:
+    """Instants (`timestamp`) as zone-less times in UTC; all other columns as they are.
+
+    An instant turned into text reads differently in every session time zone, and so would its hash. Apply
+    this to a frame with such columns before hashing. JDBC sources read zone-less times to begin with.
+    """
+    utc = lambda c: F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + unix_micros(`{c}`) * INTERVAL '0.000001' SECOND")
+    return df.select(*[
+        utc(f.name).alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ])
+
+
 def row_hash(*cols: str | Column, algo: str = "sha256") -> Column:
     """Hash of the values of `cols` in order: hex text, or a bigint for `algo="xxhash64"`.
 
     `xxhash64` is the cheapest, but at billions of rows 64 bits do collide, and a collision hides a
-    change. The digests are the safe choice.
+    change. The digests are the safe choice. Columns of instants make the hash depend on the session's
+    time zone; pass them through `zone_free` first.
     """
     columns = [_as_column(c) for c in cols]
     if algo == "xxhash64":

@@ -40,4 +40,4 @@ def mark_absent(df: DataFrame, other: DataFrame, on: Mapping[str, str], out_col:
     """All rows of `df` with a flag that is true for those `rows_not_in` would keep."""
     values = _other_values(other, on).distinct().withColumn("_present", F.lit(True))
     joined = df.join(values, _same(df, values, on), "left")
-    return joined.select(*[df[c] for c in df.columns], F.col("_present").isNull().alias(out_col))
+    return joined.select(*[df[c] for c in df.columns], values["_present"].isNull().alias(out_col))

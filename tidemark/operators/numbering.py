@@ -24,26 +24,26 @@ def global_row_number(
     """Number the rows 1..n in ascending order of `order_by`, NULL first.
 
     Ties are settled by `tie_break`, or else by all other columns. `distinct_rows` says that no two rows
-    agree in all of these; otherwise the frame is written once more (see `placed_rows`). The range
-    sort samples its keys to the driver (a hundred per partition), so wide rows deserve a `tie_break`.
+    agree in all of these, which spares a sort key (see `placed_rows`). The range sort samples its keys to
+    the driver (a hundred per partition), so wide rows deserve a `tie_break`.
 
     `row_number()` over an unpartitioned window sends every row to one task. Here the rows are sorted
-    globally and written with their place, and the number is a row's position in its sort partition
-    plus the rows of all earlier ones. The writes run when this is called; the rest is lazy.
+    globally and written once with their place, and the number is a row's position in its sort partition
+    plus the rows of all earlier ones. The write runs when this is called; the rest is lazy, and
+    `workspace.intermediates` removes the files after the consumer's own write. The frame's columns are
+    kept in a struct meanwhile, so it may have columns of any name.
     """
     placed = placed_rows(df, order_by, tie_break=tie_break, distinct_rows=distinct_rows)
-    part = F.shiftright("_place", _POSITION_BITS)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    part = F.shiftright("place", _POSITION_BITS)
+    sizes = placed.groupBy(part.alias("of")).agg(F.count(F.lit(1)).alias("rows"))
     # One row per sort partition, a few thousand at most: small enough for one task and to broadcast.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("of", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
 
-    position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select((F.col("_offset") + position + 1).alias(out_col), *[F.col(f"`{c}`") for c in df.columns])
-    )
+    position = F.col("place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    numbered = placed.join(F.broadcast(offsets), part == F.col("of"))
+    return numbered.select(
+        (F.col("offset") + position + 1).alias(out_col), *[F.col("row").getField(c).alias(c) for c in df.columns])
 
 
 def placed_rows(
@@ -53,23 +53,22 @@ def placed_rows(
     tie_break: Sequence[str] | None = None,
     distinct_rows: bool = False,
 ) -> DataFrame:
-    """The rows in global order, written once, with `_place`: sort partition and position in it.
+    """`row`, a struct of the frame's columns, in global order and written once with `place`: sort partition and position.
 
     Writing fixes the boundaries; a sampled range sort computed anew could move rows between passes.
     Since ties are ordered too, a value of `order_by` that a third of the rows share is spread over
-    several partitions. Copies of one row are spread as well: unless `distinct_rows`, the frame is first
-    written as it is, and each row's place in those files, which a repeated task finds again, breaks
-    the last ties.
+    several partitions. Copies of one row are spread by a last sort key, the row's place in the input. It need not be
+    the same when a task is run again: it only tells rows apart that are equal in every other column, and Spark runs
+    whatever depends on such a column again as a whole.
     """
     leading = [F.col(c) if isinstance(c, str) else c for c in order_by]
     named = {c for c in order_by if isinstance(c, str)}
     ties = list(tie_break) if tie_break is not None else [c for c in df.columns if c not in named]
-    keys = [c.asc_nulls_first() for c in [*leading, *[F.col(f"`{c}`") for c in ties]]]
-    rows = df
-    if not distinct_rows:
-        rows = materialise(df, "to-number").withColumn("_copy", F.monotonically_increasing_id())
-        keys.append(F.col("_copy").asc())
-    ordered = rows.orderBy(*keys).select(
-        *[F.col(f"`{c}`") for c in df.columns], F.monotonically_increasing_id().alias("_place")
-    )
+    keys = [*leading, *[F.col(f"`{c}`") for c in ties]]
+    copy = F.lit(0).cast("long") if distinct_rows else F.monotonically_increasing_id()
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        *[k.alias(f"key{i}") for i, k in enumerate(keys)], copy.alias("copy"))
+    order = [F.col(f"key{i}").asc_nulls_first() for i in range(len(keys))]
+    ordered = rows.orderBy(*order, F.col("copy").asc()).select("row", F.monotonically_increasing_id().alias("place"))
     return materialise(ordered, "row-number")

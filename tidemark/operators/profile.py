@@ -28,23 +28,27 @@ def view_profile(views: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, profiles)
 
 
-def describe_columns(df: DataFrame) -> DataFrame:
-    """One row per column: position, name, type, and whether it holds NULLs, found in one pass.
+def describe_columns(df: DataFrame, table: str | None = None) -> DataFrame:
+    """One row per column: position, name, type, whether NULL is allowed, and its default. No row is read.
 
-    Nullability is observed rather than read off the schema, since files and cursors declare every
-    column nullable.
+    Names and types come from the frame's schema; `table` names the catalogue table whose declared nullability and
+    defaults are given, without which the schema's nullability stands and defaults are NULL.
     """
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(df.columns)],
-    )
-    described = F.array(*[
-        F.struct(
-            F.lit(i).alias("ordinal"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            (F.col(f"_n{i}") < F.col("_rows")).alias("has_nulls"),
-        )
+    spark = df.sparkSession
+    declared = {c.name: c for c in spark.catalog.listColumns(table)} if table else {}
+    defaults = {f.name: f.metadata.get("CURRENT_DEFAULT") for f in (spark.table(table).schema if table else df.schema).fields}
+    rows = [
+        (i, f.name, f.dataType.simpleString(), declared[f.name].nullable if f.name in declared else f.nullable,
+         defaults.get(f.name))
         for i, f in enumerate(df.schema.fields)
-    ])
-    return counts.select(F.inline(described))
+    ]
+    return spark.createDataFrame(
+        rows, "ordinal int, column_name string, data_type string, nullable boolean, default_value string")
+
+
+def null_profile(df: DataFrame) -> DataFrame:
+    """One row per column with the number of its NULLs, found in one pass."""
+    nulls = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    return nulls.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("nulls")) for i, c in enumerate(df.columns)
+    ])))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import blank_to_null, equals_padded, isnull_default, rtrim_text
-from tidemark.functions.dates import Instant, as_timestamp, text_to_date
+from tidemark.functions.dates import Instant, as_timestamp, text_or_default_date, text_to_date, unparsed
 from tidemark.functions.hashing import row_hash
 from tidemark.operators.numbering import global_row_number
 
@@ -38,13 +38,8 @@ COLUMNS = [
     ("RESIDENTS_CLEANING_COUNT", "resident_cleaning_cnt", "text"),
     ("RESIDENT_CLEAN_LAST_DATE", "resident_cleaning_last_date", "date"),
 ]
-HASHED = [
-    "prop_ref", "resident_inspector", "inspection_priority", "grounds_contractor", "grounds_team",
-    "cleaning_contractor", "cleaning_team", "staff_grounds_cnt", "staff_grounds_last_date",
-    "staff_cleaning_cnt", "staff_cleaning_last_date", "grounds_status", "grounds_due", "cleaning_status",
-    "cleaning_due", "resident_grounds_cnt", "resident_grounds_last_date", "resident_cleaning_cnt",
-    "resident_cleaning_last_date",
-]
+HASHED = [source for _, source, _ in COLUMNS]
+DATES = [source for _, source, treatment in COLUMNS if treatment == "date"]
 
 
 def _contractor(col: Column, name: str, contractor_id: int) -> Column:
@@ -54,14 +49,19 @@ def _contractor(col: Column, name: str, contractor_id: int) -> Column:
 _TREATMENTS = {
     "text": lambda col: isnull_default(rtrim_text(col)),
     "team": lambda col: isnull_default(rtrim_text(blank_to_null(col))),
-    "date": lambda col: isnull_default(text_to_date(col), "date"),
+    "date": text_or_default_date,
     "grounds contractor": lambda col: _contractor(col, GROUNDS_CONTRACTOR, GROUNDS_CONTRACTOR_ID),
     "cleaning contractor": lambda col: _contractor(col, CLEANING_CONTRACTOR, CLEANING_CONTRACTOR_ID),
 }
 
 
+def inspections_bad_dates(view: DataFrame) -> DataFrame:
+    """One row: for every date column, the number of texts that are no date and not blank."""
+    return view.agg(*[unparsed(F.when(F.rtrim(c) != "", F.col(c)), text_to_date(F.col(c))).alias(c) for c in DATES])
+
+
 def inspections_feed(view: DataFrame, *, as_of: Instant, creator: str) -> DataFrame:
-    """The view's texts trimmed, blanks and NULL as '', dates parsed, rows numbered by property reference."""
+    """The view's texts trimmed, blanks and NULL as '' or 1900-01-01, dates parsed, rows numbered by property reference."""
     as_of = as_timestamp(as_of)
     numbered = global_row_number(view.select(*HASHED), ["prop_ref"], KEY)
     return numbered.select(

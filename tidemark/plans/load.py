@@ -14,7 +14,7 @@ from tidemark.functions.cleaning import nan_to_null
 from tidemark.functions.hashing import hash_to_string
 from tidemark.operators.projection import stamp_load_id
 from tidemark.operators.versions import hash_anti_join, latest_per_key, mark_new
-from tidemark.sinks.targets import Target, append_by_name, delete_load
+from tidemark.sinks.targets import Target, append_by_name, count_load, delete_load
 from tidemark.specs import HASH_COLUMN, LOAD_COLUMN
 from tidemark.workspace import landed
 
@@ -44,7 +44,8 @@ def incremental_rows(
 
     The hash gets the type it has in the target, a binary one becoming hex text.
     With `match_on="hash"` a row is also dropped when another key's latest row has its hash; with
-    "key_hash" only its own key's latest row counts. Rows deleted at the source are not detected.
+    "key_hash" only its own key's latest row counts, and a row whose key is NULL has none: it is appended by every
+    load. Rows deleted at the source are not detected.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if match_on not in MATCH_ON:
@@ -95,11 +96,10 @@ def incremental_load(
     spark = batch.sparkSession
     if delete_first:
         delete_load(spark, target, load_id, load_col)
-    own_load = F.col(load_col) == F.lit(load_id)
     if any(f.name.lower() == hash_col.lower() and isinstance(f.dataType, T.BinaryType)
            for f in target.columns(spark).fields):
         raise ValueError(f"the target must store {hash_col} as text or number: binary hashes are loaded as hex text")
-    if not target.read(spark).where(own_load).isEmpty():
+    if count_load(spark, target, load_id, load_col):
         raise ValueError(f"load {load_id} already has rows in the target")
 
     with landed(batch, f"landed-{load_id}") if land else nullcontext(batch) as rows:
@@ -110,7 +110,7 @@ def incremental_load(
         # Few rows usually survive out of many tasks; rebalancing them makes a few well-filled files.
         append_by_name(fresh.hint("rebalance"), target)
         retrieved = rows.count()
-    inserted = target.read(spark).where(own_load).count()
+    inserted = count_load(spark, target, load_id, load_col)
     return LoadResult(load_id, retrieved, inserted, len(fresh.columns))
 
 

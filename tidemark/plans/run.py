@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.load import incremental_load
 from tidemark.sinks.targets import Target
 from tidemark.specs import FeedSpec
+from tidemark.workspace import intermediates
 
 log = logging.getLogger(__name__)
 
@@ -54,10 +55,11 @@ def _run_one(
     try:
         number = load_id(spec)
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.label)
-        result = incremental_load(
-            read(spec), target(spec), keys=spec.keys, load_id=number,
-            load_col=spec.load_column, delete_first=spec.delete_last, land=land(spec),
-        )
+        with intermediates(spark):
+            result = incremental_load(
+                read(spec), target(spec), keys=spec.keys, load_id=number,
+                load_col=spec.load_column, delete_first=spec.delete_last, land=land(spec),
+            )
         status = "loaded" if result.inserted else "empty"
         counts = (result.retrieved, result.inserted, result.columns)
         error = None

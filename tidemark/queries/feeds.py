@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.cleaning import pad_left
 from tidemark.plans.feeds import (
     attribute_type_feed,
     blocks_feed,
@@ -126,7 +127,7 @@ WITH units AS (
                      WHEN 'PROMO' THEN 'On Hold' WHEN 'SMALL' THEN 'Sold' END AS status,
          CASE p_size WHEN 30 THEN '2/3-Mez' WHEN 31 THEN 'G' WHEN 32 THEN 'Ground' ELSE p_size::VARCHAR END AS floor,
          CASE WHEN l_tax > 0.04 THEN 'taxed' END AS comments,
-         'Supplier#' || lpad(l_suppkey::VARCHAR, 9, '0') AS building
+         'Supplier#' || lpad(l_suppkey::VARCHAR, greatest(9, length(l_suppkey::VARCHAR))::INTEGER, '0') AS building
   FROM lineitem JOIN part ON l_partkey = p_partkey),
 joined AS (
   SELECT u.*, 'B' || s_suppkey::VARCHAR AS building_ref
@@ -164,7 +165,7 @@ def q_feed_units(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size == 30, "2/3-Mez").when(size == 31, "G").when(size == 32, "Ground").otherwise(text("p_size"))
         .alias("Floor"),
         F.when(F.col("l_tax") > 0.04, "taxed").alias("Comments"),
-        F.concat(F.lit("Supplier#"), F.lpad(text("l_suppkey"), 9, "0")).alias("Building"),
+        F.concat(F.lit("Supplier#"), pad_left(text("l_suppkey"), 9, "0")).alias("Building"),
     )
     return units_feed(property_index, _supplier_buildings(spark, sf_dir), _nation_areas(spark, sf_dir))
 
@@ -226,8 +227,8 @@ def q_feed_schemes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- inspections: one per order, texts padded ----------------------------------------------------
 
 _SQL_INSPECTION_VIEW = """
-SELECT rpad(o_custkey::VARCHAR, 12, ' ') AS prop_ref, rpad(o_orderkey::VARCHAR, 12, ' ') AS resident_inspector,
-       CASE WHEN o_orderpriority <> '5-LOW' THEN rpad(o_orderpriority, 16, ' ') END AS inspection_priority,
+SELECT o_custkey::VARCHAR || '    ' AS prop_ref, o_orderkey::VARCHAR || '  ' AS resident_inspector,
+       CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority || '   ' END AS inspection_priority,
        CASE o_orderstatus WHEN 'F' THEN 'Just Ask    ' WHEN 'O' THEN 'Another' END AS grounds_contractor,
        CASE o_orderstatus WHEN 'F' THEN '   ' WHEN 'O' THEN 'Team O  ' END AS grounds_team,
        CASE o_orderstatus WHEN 'P' THEN 'Cleanscapes ' WHEN 'O' THEN 'Another' END AS cleaning_contractor,
@@ -257,8 +258,8 @@ def _sql_text(column: str) -> str:
 
 def _sql_date(column: str) -> str:
     return (
-        f"coalesce(CASE WHEN rtrim({column}) = '' THEN DATE '1900-01-01' ELSE try_cast(rtrim({column}) AS DATE) END, "
-        "DATE '1900-01-01')"
+        f"CASE WHEN coalesce(rtrim({column}), '') = '' THEN DATE '1900-01-01' "
+        f"ELSE coalesce(try_cast(rtrim({column}) AS DATE), try_strptime(rtrim({column}), '%b %d %Y')::DATE) END"
     )
 
 
@@ -283,11 +284,11 @@ SELECT row_number() OVER (ORDER BY {_ORDER_OF_INSPECTIONS}) AS ESTATE_INSP_AND_C
 FROM view""")
 def q_feed_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
     status, date = F.col("o_orderstatus"), F.col("o_orderdate").cast("date").cast("string")
-    pad = lambda c, n: F.rpad(F.col(c).cast("string"), n, " ")
+    pad = lambda c, blanks: F.concat(F.col(c).cast("string"), F.lit(" " * blanks))
     view = table(spark, sf_dir, "orders").select(
-        pad("o_custkey", 12).alias("prop_ref"),
-        pad("o_orderkey", 12).alias("resident_inspector"),
-        F.when(F.col("o_orderpriority") != "5-LOW", pad("o_orderpriority", 16)).alias("inspection_priority"),
+        pad("o_custkey", 4).alias("prop_ref"),
+        pad("o_orderkey", 2).alias("resident_inspector"),
+        F.when(F.col("o_orderpriority") != "5-LOW", pad("o_orderpriority", 3)).alias("inspection_priority"),
         F.when(status == "F", "Just Ask    ").when(status == "O", "Another").alias("grounds_contractor"),
         F.when(status == "F", "   ").when(status == "O", "Team O  ").alias("grounds_team"),
         F.when(status == "P", "Cleanscapes ").when(status == "O", "Another").alias("cleaning_contractor"),

@@ -9,7 +9,7 @@ from tidemark.functions.dates import as_timestamp
 from tidemark.functions.decoding import decode_lookup
 from tidemark.operators.membership import rows_in
 from tidemark.operators.numbering import global_row_number
-from tidemark.operators.profile import count_rows, describe_columns, view_profile
+from tidemark.operators.profile import count_rows, describe_columns, null_profile, view_profile
 from tidemark.operators.projection import active_at, constant_columns, not_in, positional_columns, project_rename
 from tidemark.plans.feeds.survey import survey_rows
 from tidemark.queries.frames import (
@@ -63,9 +63,11 @@ def q_scan_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source(spark, SqlSource(text))
 
 
-@query('SELECT o_orderkey AS "0", o_custkey AS "1", o_orderstatus AS "2" FROM orders')
+@query("""
+SELECT o_orderkey AS "0", o_custkey AS "1", o_orderstatus AS "2", o_totalprice AS "3", o_orderdate AS "4",
+       o_orderpriority AS "5" FROM orders""")
 def q_positional_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return positional_columns(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+    return positional_columns(table(spark, sf_dir, "orders"))
 
 
 @query("""
@@ -75,20 +77,22 @@ def q_schema_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped(table(spark, sf_dir, "lineitem"))
 
 
-_DESCRIBED = {
-    "HOUSE_SIZE": "int", "RESIDENTS_ID": "bigint", "HOUSE_REF": "string", "AGREEMENT_REF": "bigint",
-    "AGREEMENT_DESC": "string", "START_OF_TERM": "string", "END_OF_TERM": "string", "RENT_VALUE": "double",
-    "OCCUPANCY_TERMINATED": "boolean", "B_CREDATE": "string", "HASH_VALUE": "string",
-}
+@query(f"""
+WITH described AS (SELECT * FROM (DESCRIBE SELECT * FROM ({SQL_RESIDENTS_VIEW})))
+SELECT (row_number() OVER () - 1)::INTEGER AS ordinal, column_name,
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+            WHEN 'DOUBLE' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' END AS data_type
+FROM described""")
+def q_describe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return describe_columns(residents_view(spark, sf_dir)).select("ordinal", "column_name", "data_type")
 
 
-@query(f"WITH residents AS ({SQL_RESIDENTS_VIEW}) " + " UNION ALL ".join(
-    f"SELECT {i} AS ordinal, '{name}' AS column_name, '{dtype}' AS data_type, "
-    f"count({name}) < count(*) AS has_nulls FROM residents"
-    for i, (name, dtype) in enumerate(_DESCRIBED.items())
-))
-def q_describe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return describe_columns(residents_view(spark, sf_dir).select(*_DESCRIBED))
+@query(f"""
+WITH residents AS ({SQL_RESIDENTS_VIEW}),
+counts AS (UNPIVOT (SELECT count(*) - count(COLUMNS(*)) FROM residents) ON COLUMNS(*) INTO NAME column_name VALUE nulls)
+SELECT column_name, nulls FROM counts""")
+def q_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return null_profile(residents_view(spark, sf_dir))
 
 
 @query(" UNION ALL ".join(
@@ -114,10 +118,10 @@ def q_project_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT s_suppkey, s_name, 'Supplier' AS B_CLASSNAME, 41 AS F_SOURCE_SYSTEM, '41' AS F_SOURCE_SYSTEM_TEXT FROM supplier""")
+SELECT *, 'Supplier' AS B_CLASSNAME, 41 AS F_SOURCE_SYSTEM, '41' AS F_SOURCE_SYSTEM_TEXT FROM supplier""")
 def q_constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constant_columns(
-        table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
+        table(spark, sf_dir, "supplier"),
         B_CLASSNAME="Supplier", F_SOURCE_SYSTEM=41, F_SOURCE_SYSTEM_TEXT="41",
     )
 

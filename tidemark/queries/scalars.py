@@ -20,7 +20,7 @@ from tidemark.functions.dates import (
     validity_window,
 )
 from tidemark.functions.decoding import decode, decode_like, decode_rank
-from tidemark.functions.hashing import hash_to_string, row_hash, sha1_null_marked, sha1_null_skipped
+from tidemark.functions.hashing import hash_to_string, row_hash, sha1_null_marked, sha1_null_skipped, zone_free
 from tidemark.queries.frames import oracle_text, sql_morning
 from tidemark.queries.registry import query, table
 
@@ -41,13 +41,19 @@ def q_isnull_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'N' THEN l_quantity END AS l_quantity, l_returnflag
+SELECT * REPLACE (CASE WHEN l_returnflag <> 'N' THEN l_quantity END AS l_quantity,
+                  CASE WHEN l_linestatus <> 'O' THEN l_extendedprice END AS l_extendedprice,
+                  CASE WHEN l_linenumber <> 2 THEN l_discount END AS l_discount,
+                  CASE WHEN l_linenumber <> 3 THEN l_tax END AS l_tax)
 FROM lineitem""")
 def q_nan_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quantity = F.when(F.col("l_returnflag") == "N", F.lit(float("nan"))).otherwise(F.col("l_quantity"))
-    return nan_to_null(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", quantity.alias("l_quantity"), "l_returnflag"
-    ))
+    nan_where = lambda condition, c: F.when(condition, F.lit(float("nan"))).otherwise(F.col(c))
+    return nan_to_null(table(spark, sf_dir, "lineitem").withColumns({
+        "l_quantity": nan_where(F.col("l_returnflag") == "N", "l_quantity"),
+        "l_extendedprice": nan_where(F.col("l_linestatus") == "O", "l_extendedprice"),
+        "l_discount": nan_where(F.col("l_linenumber") == 2, "l_discount"),
+        "l_tax": nan_where(F.col("l_linenumber") == 3, "l_tax"),
+    }))
 
 
 @query("SELECT p_partkey, 'TP_' || CASE WHEN p_type <> 'PROMO' THEN p_size::VARCHAR END AS type_key FROM part")
@@ -58,12 +64,15 @@ def q_concat_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT p_partkey, sha256(p_partkey::VARCHAR || chr(31) || p_name || chr(31)
-         || coalesce(nullif(p_type, 'PROMO'), chr(30)) || chr(31) || p_size::VARCHAR) AS HASH_VALUE
+         || coalesce(nullif(p_type, 'PROMO'), chr(30)) || chr(31) || p_size::VARCHAR || chr(31)
+         || strftime(TIMESTAMP '2001-01-01' + to_days(p_size), '%Y-%m-%d %H:%M:%S')) AS HASH_VALUE
 FROM part""")
 def q_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("p_type") != "PROMO", F.col("p_type"))
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", row_hash("p_partkey", "p_name", kind, "p_size").alias("HASH_VALUE")
+    changed = F.timestamp_seconds(F.lit(978307200) + F.col("p_size") * 86400)  # an instant, with a zone
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", kind.alias("kind"), "p_size", changed.alias("changed"))
+    return zone_free(rows).select(
+        "p_partkey", row_hash("p_partkey", "p_name", "kind", "p_size", "changed").alias("HASH_VALUE")
     )
 
 
@@ -117,8 +126,8 @@ def q_format_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN DATE '1900-01-01' WHEN '2-HIGH' THEN NULL
-         WHEN '3-MEDIUM' THEN NULL ELSE o_orderdate::DATE END AS due,
+SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN DATE '1900-01-01'
+         WHEN o_orderpriority IN ('2-HIGH', '3-MEDIUM') THEN NULL ELSE o_orderdate::DATE END AS due,
        o_custkey::VARCHAR AS customer
 FROM orders""")
 def q_clean_text_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,9 +135,13 @@ def q_clean_text_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(priority == "1-URGENT", F.lit("   "))
         .when(priority == "3-MEDIUM", F.lit("soon  "))
-        .when(priority != "2-HIGH", F.rpad(F.col("o_orderdate").cast("date").cast("string"), 14, " "))
+        .when(priority == "2-HIGH", F.lit(None))
+        .when(F.col("o_orderkey") % 4 == 0, F.date_format("o_orderdate", "yyyyMMdd"))
+        .when(F.col("o_orderkey") % 4 == 1, F.date_format("o_orderdate", "d MMM yyyy"))
+        .when(F.col("o_orderkey") % 4 == 2, F.concat(F.date_format("o_orderdate", "MMM d yyyy"), F.lit(" 12:00AM")))
+        .otherwise(F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("    ")))
     )
-    customer = F.rpad(F.col("o_custkey").cast("string"), 20, " ")
+    customer = F.concat(F.col("o_custkey").cast("string"), F.lit("   "))
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", text_to_date(text).alias("due"), rtrim_text(customer).alias("customer")
     )

@@ -6,6 +6,7 @@ partition, and deleting a load drops one. One writer per target at a time is a p
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.versions import without_load
-from tidemark.sources.jdbc import JdbcConnection, jdbc_options, jdbc_write_options
+from tidemark.sources.jdbc import JdbcConnection, hash_predicates, jdbc_options, jdbc_write_options
 from tidemark.specs import LOAD_COLUMN
 from tidemark.workspace import delete_folder, empty_frame, landed
 
@@ -23,6 +24,15 @@ def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
+# Where a frame's schema keeps the declared type of a text with a length; the field itself is plain text.
+DECLARED_TEXT = "__CHAR_VARCHAR_TYPE_STRING"
+
+
+def declared_type(field: T.StructField) -> str:
+    """The type to declare for a field, with the length of a text where it has one."""
+    return field.metadata.get(DECLARED_TEXT, field.dataType.simpleString())
+
+
 def _in_table_order(schema: T.StructType, partition_by: tuple[str, ...]) -> T.StructType:
     fields = {f.name: f for f in schema.fields}
     names = [n for n in schema.names if n not in partition_by] + list(partition_by)
@@ -40,7 +50,7 @@ class TableTarget:
     def create(self, spark: SparkSession) -> None:
         if self.schema is None:
             raise ValueError(f"no schema to create {self.name} from")
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
+        columns = ", ".join(f"`{f.name}` {declared_type(f)}" for f in self.schema.fields)
         partitions = ", ".join(f"`{c}`" for c in self.partition_by)
         clause = f" PARTITIONED BY ({partitions})" if partitions else ""
         spark.sql(f"CREATE TABLE {_quoted(self.name)} ({columns}) USING parquet{clause}")
@@ -125,6 +135,9 @@ class JdbcTarget:
 
     connection: JdbcConnection
     table: str
+    partitioning: Mapping[str, str] | None = None
+    hash_column: str | None = None
+    hash_partitions: int = 32
 
     def exists(self, spark: SparkSession) -> bool:
         return True
@@ -133,7 +146,18 @@ class JdbcTarget:
         return self.read(spark).schema
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format("jdbc").options(**jdbc_options(self.connection, self.table)).load()
+        """The table, read in parallel by `partitioning` or the hash of `hash_column`; a load selects three columns of it."""
+        options = jdbc_options(self.connection, self.table, partitioning=self.partitioning, statement=False)
+        if self.hash_column is None:
+            return spark.read.format("jdbc").options(**options).load()
+        predicates = hash_predicates(self.connection.dialect, self.hash_column, self.hash_partitions)
+        url, name = options.pop("url"), options.pop("dbtable")
+        return spark.read.jdbc(url, name, predicates=predicates, properties=options)
+
+    def count_load(self, spark: SparkSession, load_id: int, load_col: str) -> int:
+        """Rows of a load, counted by the database."""
+        statement = f"SELECT count(*) AS n FROM {self.table} WHERE {load_col} = {int(load_id)}"
+        return int(spark.read.format("jdbc").options(**jdbc_options(self.connection, statement, statement=True)).load().first()[0])
 
     def append(self, df: DataFrame) -> None:
         df.write.format("jdbc").mode("append").options(**jdbc_write_options(self.connection, self.table)).save()
@@ -153,6 +177,13 @@ def _as_type(column, field: T.StructField):
     return column.cast(field.dataType).alias(field.name)
 
 
+def count_load(spark: SparkSession, target: Target, load_id: int, load_col: str = LOAD_COLUMN) -> int:
+    """Rows of a load in the target."""
+    if isinstance(target, JdbcTarget):
+        return target.count_load(spark, load_id, load_col)
+    return target.read(spark).where(F.col(load_col) == F.lit(load_id)).count()
+
+
 def append_by_name(df: DataFrame, target: Target) -> None:
     """Append the columns of `df` to the target's columns of the same name, in upper or lower case.
 
@@ -160,6 +191,9 @@ def append_by_name(df: DataFrame, target: Target) -> None:
     """
     schema = target.columns(df.sparkSession)
     given = {c.lower(): c for c in df.columns}
+    for side, names in (("batch", df.columns), ("target", schema.names)):
+        if len({c.lower() for c in names}) < len(names):
+            raise ValueError(f"the {side} has columns that differ in upper and lower case only")
     unknown = sorted(set(given) - {c.lower() for c in schema.names})
     if unknown:
         raise ValueError(f"the target has no columns {unknown}")

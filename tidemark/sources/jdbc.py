@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -40,9 +41,43 @@ class JdbcConnection:
         return {"url": url, "driver": DRIVERS[self.dialect], **self.options}
 
 
-def _relation(query_or_table: str) -> str:
-    text = query_or_table.strip().rstrip(";")
-    return f"({text}) src" if text.lower().startswith(("select", "with")) else text
+_COMMENTS = re.compile(r"\s*(?:--[^\n]*(?:\n|\Z)|/\*.*?\*/)", re.S)
+
+
+def without_leading_comments(text: str) -> str:
+    text = text.strip()
+    while m := _COMMENTS.match(text):
+        text = text[m.end():].strip()
+    return text.rstrip("; \n\t")
+
+
+def is_statement(text: str) -> bool:
+    """Whether the text is a SELECT or WITH statement and not the name of a table or view."""
+    return re.match(r"(?:select|with)\b(?!\s*\.)[\s(*]", without_leading_comments(text) + " ", re.I) is not None and (
+        len(without_leading_comments(text).split(None, 1)) > 1)
+
+
+def split_with(statement: str) -> tuple[str, str]:
+    """The WITH part of a statement, empty if it has none, and its main SELECT."""
+    text = without_leading_comments(statement)
+    if not re.match(r"with\b", text, re.I):
+        return "", text
+    depth, at = 0, 0
+    token = re.compile(r"'(?:[^']|'')*'|\"[^\"]*\"|\[[^\]]*\]|--[^\n]*|/\*.*?\*/|[()]|\bselect\b", re.S | re.I)
+    for m in token.finditer(text):
+        depth += {"(": 1, ")": -1}.get(m[0], 0)
+        if depth == 0 and m[0].lower() == "select":
+            at = m.start()
+            break
+    return text[:at].strip(), text[at:]
+
+
+def _relation(dialect: str, query_or_table: str, statement: bool | None) -> dict[str, str]:
+    text = without_leading_comments(query_or_table)
+    if not (is_statement(text) if statement is None else statement):
+        return {"dbtable": text}
+    prepare, select = split_with(text) if dialect == "sqlserver" else ("", text)
+    return {"dbtable": f"({select}) src", **({"prepareQuery": prepare} if prepare else {})}
 
 
 def range_partitioning(column: str, lower: int | str, upper: int | str, partitions: int) -> dict[str, str]:
@@ -73,16 +108,20 @@ def jdbc_options(
     *,
     partitioning: Mapping[str, str] | None = None,
     fetch_size: int = FETCH_SIZE,
+    statement: bool | None = None,
 ) -> dict[str, str]:
     """Options of `spark.read.format("jdbc")` for a statement or a table.
 
-    A statement becomes a derived table, so Spark's column pruning and filter pushdown reach the
-    database, and the read can be partitioned.
+    `statement` says which it is; without it, text that begins with the word SELECT or WITH, after any comments, and
+    goes on is a statement. A statement becomes a derived table, so Spark's column pruning and filter pushdown reach
+    the database, and the read can be partitioned. SQL Server takes no WITH there, so that part goes ahead of it. Times
+    are read without a zone, so that nothing depends on the session's.
     """
     return {
         **connection.base_options(),
-        "dbtable": _relation(query_or_table),
+        **_relation(connection.dialect, query_or_table, statement),
         "fetchsize": str(fetch_size),
+        "preferTimestampNTZ": "true",
         **(partitioning or {}),
     }
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.jdbc import JdbcConnection, hash_predicates, jdbc_options
+from tidemark.sources.jdbc import JdbcConnection, hash_predicates, jdbc_options, range_partitioning
 from tidemark.specs import FeedSpec
 
 
@@ -17,7 +17,9 @@ class JdbcSource:
     """A statement, view or table of a database.
 
     Reads through one connection unless it is told how to split: by `partitioning` (see
-    `range_partitioning`), or by the hash of `hash_column`.
+    `range_partitioning`), or by the hash of `hash_column`. Each part of a hash split runs the statement anew, so for
+    an expensive view ranges over an indexed column are better. `statement` says whether the text is a statement or
+    a name, where that is not plain from its first word.
     """
 
     connection: JdbcConnection
@@ -25,6 +27,7 @@ class JdbcSource:
     partitioning: Mapping[str, str] | None = None
     hash_column: str | None = None
     hash_partitions: int = 32
+    statement: bool | None = None
 
 
 @dataclass(frozen=True)
@@ -61,7 +64,7 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
 
 
 def _read_jdbc(spark: SparkSession, source: JdbcSource) -> DataFrame:
-    options = jdbc_options(source.connection, source.query_or_table, partitioning=source.partitioning)
+    options = jdbc_options(source.connection, source.query_or_table, partitioning=source.partitioning, statement=source.statement)
     if source.hash_column is None:
         return spark.read.format("jdbc").options(**options).load()
     predicates = hash_predicates(source.connection.dialect, source.hash_column, source.hash_partitions)
@@ -85,7 +88,12 @@ def source_for(spec: FeedSpec, connections: Mapping[str, JdbcConnection]) -> Jdb
     connection = JdbcConnection(
         base.dialect, spec.server or base.host, spec.source_database or base.database, base.port, base.options
     )
-    return JdbcSource(connection, spec.statement)
+    if spec.split_column is None:
+        return JdbcSource(connection, spec.statement)
+    if spec.split_lower is None or spec.split_upper is None:
+        return JdbcSource(connection, spec.statement, hash_column=spec.split_column, hash_partitions=spec.split_parts)
+    ranges = range_partitioning(spec.split_column, spec.split_lower, spec.split_upper, spec.split_parts)
+    return JdbcSource(connection, spec.statement, partitioning=ranges)
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 LOAD_COLUMN = "B_LOADID"
 HASH_COLUMN = "HASH_VALUE"
+DEFAULT_PARTS = 32
 
 FEED_SCHEMA = T.StructType([
     T.StructField("target_table", T.StringType(), False),
@@ -22,12 +23,20 @@ FEED_SCHEMA = T.StructType([
     T.StructField("statement", T.StringType(), True),
     T.StructField("primary_key", T.StringType(), False),
     T.StructField("delete_last", T.BooleanType(), False),
+    T.StructField("split_column", T.StringType(), True),
+    T.StructField("split_parts", T.IntegerType(), True),
+    T.StructField("split_lower", T.StringType(), True),
+    T.StructField("split_upper", T.StringType(), True),
 ])
 
 
 @dataclass(frozen=True)
 class FeedSpec:
-    """One feed. `statement` is the SQL text or view to read; a composite key is written `a,b`."""
+    """One feed. `statement` is the SQL text or view to read; a composite key is written `a,b`.
+
+    With a `split_column` the source is read in `split_parts` parts: by ranges where both bounds are given, else by
+    the column's hash.
+    """
 
     target_table: str
     company: str
@@ -38,6 +47,14 @@ class FeedSpec:
     statement: str | None = None
     load_column: str = LOAD_COLUMN
     delete_last: bool = False
+    split_column: str | None = None
+    split_parts: int | None = None
+    split_lower: str | None = None
+    split_upper: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.split_column is not None and self.split_parts is None:
+            object.__setattr__(self, "split_parts", DEFAULT_PARTS)
 
     @property
     def keys(self) -> list[str]:
@@ -55,8 +72,13 @@ def feeds_frame(spark: SparkSession, specs: Iterable[FeedSpec]) -> DataFrame:
 
 
 def load_specs(feeds: DataFrame) -> list[FeedSpec]:
-    """Specs from a feed table (one row per feed, so tens of rows), in promotion order."""
-    ordered = feeds.select(*FEED_SCHEMA.names).orderBy("hierarchy", "target_table", "source_database")
+    """Specs from a feed table (one row per feed, so tens of rows), in promotion order. Optional columns may be missing."""
+    given = set(feeds.columns)
+    columns = [
+        F.col(f.name) if f.name in given or not f.nullable else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in FEED_SCHEMA.fields
+    ]
+    ordered = feeds.select(*columns).orderBy("hierarchy", "target_table", "source_database")
     return [FeedSpec(**row.asDict()) for row in ordered.toLocalIterator()]
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +34,31 @@ def new_path(spark: SparkSession, label: str) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and return a frame that reads it back, cutting the lineage.
 
-    The files stay, since the frame is lazy; the folder's own retention removes them.
+    The files stay, since the frame is lazy: `intermediates` removes them, or else the folder's own retention.
     """
-    return _written(df, new_path(df.sparkSession, label))
+    path = new_path(df.sparkSession, label)
+    if (paths := _OPEN.get()) is not None:
+        paths.append(path)
+    return _written(df, path)
+
+
+_OPEN: ContextVar[list[str] | None] = ContextVar("open_intermediates", default=None)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Removes what `materialise` writes within the block when the block ends, well or not.
+
+    Frames made in the block are lazy, so they must be written or otherwise used up within it.
+    """
+    paths: list[str] = []
+    token = _OPEN.set(paths)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in paths:
+            delete_folder(spark, path)
 
 
 @contextmanager
