@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tidemark import FeedSpec
 from tidemark.operators.projection import stamp_load_id
 from tidemark.plans.load import incremental_load, incremental_rows, load_counts
 from tidemark.plans.promote import promotion_manifest
-from tidemark.plans.run import feed_reader, run_feeds, run_summary
+from tidemark.plans.run import feed_reader, run_feeds, run_summary, shared_views
 from tidemark.sinks import PathTarget, TableTarget
 from tidemark.workspace import new_path, shared_folder
 
@@ -192,3 +193,21 @@ def test_feeds_of_both_kinds_are_read(spark):
     assert read(replace(spec, statement="both")).count() == 2
     with pytest.raises(KeyError):
         read(replace(spec, statement="absent"))
+
+
+def test_shared_views_are_read_once_and_removed(spark):
+    reads = []
+
+    def read_view(spec, view):
+        reads.append(view)
+        return batch_of(spark, [(1, "a")])
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    with shared_views(spark, read_view, ["survey"]) as read:
+        spec = FeedSpec("SA_X", "one", 1, "ID")
+        for view in ("survey", "survey", "other", "other", "survey"):
+            assert read(spec, view).count() == 1
+        assert read(replace(spec, company="two"), "survey").count() == 1
+    assert reads == ["survey", "other", "other", "survey"]
+    assert set(folder.iterdir()) == before

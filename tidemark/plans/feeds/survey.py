@@ -1,7 +1,7 @@
 """Three feeds from one union of survey attributes and survey repairs.
 
-Each takes the assets and `survey_findings`, the union. Where reading the two survey views is costly, a
-run that loads all three feeds should pass the findings through `workspace.materialise` once.
+Each takes the assets and `survey_findings`, the union. A run that loads all three feeds reads the survey views
+once when they are named to `plans.run.shared_views`.
 """
 
 from __future__ import annotations
@@ -70,7 +70,9 @@ def _validity(as_of: Column) -> list[Column]:
 def key_lookup_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant, creator: str) -> DataFrame:
     """The distinct components."""
     as_of = as_timestamp(as_of)
-    components = _of_known_assets(asset, findings).select("ComponentID", "Component").distinct()
+    # Few components occur per asset, so they are made distinct on the map side before assets are looked up.
+    found = findings.select("AssetID", "ComponentID", "Component").distinct()
+    components = _of_known_assets(asset, found).select("ComponentID", "Component").distinct()
     return components.select(
         F.col("ComponentID").alias("ATTRIBUTE_KEY_LOOKUP_ID"),
         F.col("Component").alias("KEY_NAME"),
@@ -85,7 +87,7 @@ def key_lookup_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant, cr
 def attribute_type_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant, creator: str) -> DataFrame:
     """The distinct elements that have an id, which repair rows never have."""
     as_of = as_timestamp(as_of)
-    identified = findings.where(F.col("RepairElementID").isNotNull())
+    identified = findings.where(F.col("RepairElementID").isNotNull()).select("AssetID", "RepairElementID", "RepairElement").distinct()
     elements = _of_known_assets(asset, identified).select("RepairElementID", "RepairElement").distinct()
     return elements.select(
         concat_key(TYPE_PREFIX, F.col("RepairElementID")).alias("PROP_ATTRIBUTE_TYPE_ID"),

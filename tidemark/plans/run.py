@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.load import incremental_load
 from tidemark.sinks.targets import Target
 from tidemark.specs import FeedSpec
-from tidemark.workspace import intermediates
+from tidemark.workspace import delete_folder, intermediates, new_path, written
 
 log = logging.getLogger(__name__)
 
@@ -43,6 +45,36 @@ def feed_reader(
     return read
 
 
+@contextmanager
+def shared_views(
+    spark: SparkSession, read_view: Callable[[FeedSpec, str], DataFrame], names: Iterable[str]
+) -> Iterator[Callable[[FeedSpec, str], DataFrame]]:
+    """A `read_view` that reads each view of `names` once per source, for all feeds of a run made within the block.
+
+    The first feed that asks for such a view writes it to the shared folder; the files are removed at the end.
+    """
+    names, tables, paths, locks, guard = set(names), {}, [], {}, Lock()
+
+    def read(spec: FeedSpec, view: str) -> DataFrame:
+        if view not in names:
+            return read_view(spec, view)
+        key = (spec.company, spec.server, spec.source_database, view)
+        with guard:
+            lock = locks.setdefault(key, Lock())
+        with lock:
+            if key not in tables:
+                path = new_path(spark, "view")
+                paths.append(path)
+                tables[key] = written(read_view(spec, view), path)
+        return tables[key]
+
+    try:
+        yield read
+    finally:
+        for path in paths:
+            delete_folder(spark, path)
+
+
 def _run_one(
     spark: SparkSession,
     spec: FeedSpec,

@@ -39,7 +39,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     if (paths := _OPEN.get()) is not None:
         paths.append(path)
-    return _written(df, path)
+    return written(df, path)
 
 
 _OPEN: ContextVar[list[str] | None] = ContextVar("open_intermediates", default=None)
@@ -65,11 +65,12 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
 def landed(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """`materialise` for the length of a block; the files are removed when it ends well and kept when it fails."""
     path = new_path(df.sparkSession, label)
-    yield _written(df, path)
+    yield written(df, path)
     delete_folder(df.sparkSession, path)
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` to a path and return a frame that reads it back."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
