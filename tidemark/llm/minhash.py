@@ -1,8 +1,9 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF shingles, banded, verified exactly.
 
-A document is the multiset of its five-word shingles (lower-cased words). A shingle weighs its count times the mean
-inverse document frequency of its words; frequencies come from all documents, and words beyond the `FREQUENT_WORDS` most
-frequent share the frequency of the rarest of these. Improved consistent weighted sampling draws `BANDS * ROWS` shingles
+A document is the multiset of its five-word shingles (lower-cased words). A shingle weighs its count times a damped
+inverse document frequency, between 1 and 1 + `RARITY` by the mean over its words; frequencies come from all documents, and
+words beyond the `FREQUENT_WORDS` most frequent share the frequency of the rarest of these. Undamped, the words of a group
+of copies that makes up much of the corpus would weigh next to nothing against the words in which the copies differ. Improved consistent weighted sampling draws `BANDS * ROWS` shingles
 with probability proportional to weight; documents that agree in all draws of a band meet in a bucket.
 
 Documents that meet, directly or through others, form a candidate group. Within a group every pair that shares a bucket
@@ -34,6 +35,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 FREQUENT_WORDS = 65_536
+RARITY = 0.2
 CHUNK = 256
 WORDS_AT_ONCE = 2_000_000
 CACHE_WORDS = 300_000
@@ -69,8 +71,8 @@ def inverse_frequencies(docs: DataFrame) -> tuple[dict[int, float], float]:
     frequent = most_frequent(counts, FREQUENT_WORDS)
     counts = frequent.toPandas()
     n = counts["n"].to_numpy()
-    weight = np.log1p(total / np.maximum(1, n))
-    rest = float(weight.max()) if len(n) else float(np.log1p(total))
+    weight = 1 + RARITY * np.log1p(total / np.maximum(1, n)) / np.log1p(max(1, total))
+    rest = float(weight.max()) if len(n) else 1 + RARITY
     return dict(zip(counts["word"].to_numpy().view(np.uint64).tolist(), weight.tolist())), rest
 
 
