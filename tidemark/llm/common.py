@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 256
@@ -17,6 +19,17 @@ CACHE_WORDS = 400_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package where it lies, whatever folder the driver was started in.
+
+    On a cluster the package is installed or shipped with the job, and this path is merely one more to look in.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def fold(key: Column, of: int) -> Column:
     """The fold of a row: crc32 of its key as text, modulo `of`. A NULL key has no fold."""
     return F.crc32(key.cast("string")) % F.lit(of)

@@ -3,19 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidemark.llm import decontaminate, html, langid, lm, minhash, packing, pii, quality, substrings, vectors
+from tidemark.llm.common import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    """Register a function under its name."""
+
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
