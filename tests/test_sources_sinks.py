@@ -212,3 +212,10 @@ class TestSchemas:
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shared_folder_without_the_setting_is_below_the_warehouse():
+    class Unset:
+        conf = {"spark.sql.warehouse.dir": "file:/data/warehouse/"}
+
+    assert shared_folder(Unset) == "file:/data/warehouse/_tidemark"
