@@ -183,7 +183,7 @@ def test_compact_windows():
                 while b < n - 1 and v[b + 1] > v[c]:
                     b += 1
                 want.add((a, c, b))
-        found = substrings.compact_windows(v, run)
+        found = substrings.compact_windows(v[None, :], run)[0]
         assert set(found) == want and len(found) == len(want)
 
 
