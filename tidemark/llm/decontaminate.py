@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD, WordHashes, key_and_text, running_hashes, slices, texts_of
+from tidemark.workspace import materialise
 
 MIN_RUN = 5
 COVERAGE = 0.5
@@ -166,6 +167,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float =
 
         return docs.mapInArrow(run, docs.schema)
 
-    for block in blocks(benchmark):
-        docs = without(docs, block)
+    for number, block in enumerate(blocks(benchmark)):
+        # Written between blocks, so that a task holds one block at a time.
+        docs = without(materialise(docs, "block") if number else docs, block)
     return docs
