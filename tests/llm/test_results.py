@@ -200,6 +200,17 @@ def test_repeated_passages(spark):
             assert (r["start_word"], r["end_word"]) == (70, 130)
 
 
+def test_passages_with_a_hot_line_inside(spark):
+    line, rows = words(0, 30), []
+    for i in range(60):
+        n = 10_000 * (i // 2 + 1)  # two documents share twenty words around the line that all hold
+        own = 1_000_000 + 1_000 * i
+        rows.append((i, f"{words(own, 60)} {words(n, 10)} {line} {words(n + 10, 10)} {words(own + 100, 60)}"))
+    found = substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    places = {frozenset((r["doc_id"], r["other_doc_id"])): (r["start_word"], r["end_word"]) for r in found}
+    assert places == {frozenset((i, i + 1)): (60, 110) for i in range(0, 60, 2)}
+
+
 def test_vector_links(spark):
     draw = np.random.default_rng(1)
     centre = draw.normal(size=(40, 32))
