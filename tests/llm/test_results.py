@@ -211,6 +211,28 @@ def test_passages_with_a_hot_line_inside(spark):
     assert places == {frozenset((i, i + 1)): (60, 110) for i in range(0, 60, 2)}
 
 
+def test_passages_whose_parts_stand_earlier_too(spark):
+    passage = words(0, 60)
+    rows = [(1, f"{words(0, 30)} {words(1000, 70)} {passage} {words(2000, 40)}"), (2, f"{words(3000, 50)} {passage} {words(4000, 40)}")]
+    found = substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    place = {1: (100, 160), 2: (50, 110)}
+    assert found
+    for r in found:
+        assert (r["start_word"], r["end_word"]) == place[r["doc_id"]]
+        assert (r["other_start_word"], r["other_end_word"]) == place[r["other_doc_id"]]
+
+
+def test_common_runs_at_every_place():
+    draw = np.random.default_rng(2)
+    line, passage = (draw.integers(0, 2**60, n, dtype=np.uint64) for n in (20, 60))
+    mixed = lambda n: draw.integers(0, 2**60, n, dtype=np.uint64)
+    a = np.concatenate([line, mixed(30), passage[:30], mixed(40), line, line, passage, mixed(9)])
+    b = np.concatenate([mixed(25), passage, mixed(50), line])
+    assert substrings.common_runs(a, b, 46, 0.8) == [(160, 220, 25, 85)]
+    assert substrings.common_runs(np.full(9000, 7, np.uint64), np.full(700, 7, np.uint64), 46, 0.8)[0][2:] == (0, 700)
+    assert substrings.common_runs(a[:0], b, 46, 0.8) == [] == substrings.common_runs(a, b[:45], 46, 0.8)
+
+
 def test_vector_links(spark):
     draw = np.random.default_rng(1)
     centre = draw.normal(size=(40, 32))
