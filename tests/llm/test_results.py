@@ -44,6 +44,25 @@ def test_words_that_give_an_entity_away(spark):
     assert clean[0] == "the patient  wrote from [EMAIL] on day a" and "[EMAIL]" in clean[101]
 
 
+def test_entities_of_one_document_are_judged(spark):
+    rows = [(0, "the patient Zyxwv (zed@mail.com, ann@mail.com) wrote")]
+    rows += [(i, f"the patient wrote from home to other{i}@mail.com") for i in range(1, 120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.find_spans(df).collect()}
+    assert found[0] == "term:12:17,email:19:31,email:33:45" and "term" not in found[1]
+    assert {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}[0] == "the patient  ([EMAIL], [EMAIL]) wrote"
+
+
+def test_context_reaches_past_other_entities(spark):
+    rows = [(i, f"Zyxwv ann@mail.com zed@mail.com wrote {'abcdefgh'[i]}") for i in range(8)]
+    rows += [(100 + i, f"Zyxwv wrote ann@mail.com from home on day {i}") for i in range(60)]  # tells ann, not only zed
+    rows += [(200, "Qwert ann@mail.com éx@y.de")] * 8
+    found = {r["doc_id"]: r["spans"] for r in pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    near = pii.contexts(pii.find_base(spark.createDataFrame(rows[:1], "doc_id long, text string")))
+    assert {(r["start"], r["end"]) for r in near.groupBy("start", "end").count().where("count = 2").collect()} == {(0, 5), (32, 37), (38, 39)}
+    assert "term:0:5" in found[200]
+
+
 def test_packing(spark, documents):
     from tokenizers import Tokenizer
 

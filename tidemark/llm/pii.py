@@ -6,9 +6,12 @@ overlap, of which failing ones are dropped. Every value found is a protected ent
 A word near an entity can give it away. Over all documents the corpus tells in how many an entity occurs (n_e), in how
 many a word occurs (n_t), and in how many the word stands within `CONTEXT_CHARS` of the entity (n_et). The pointwise
 mutual information log2(n_et N / (n_e n_t)) says how much of the entity's information content log2(N / n_e) the word
-reveals. Words that reveal at least the share `disclosure`, seen together in at least `support` documents, become spans
-of kind `term`. Sanitising replaces base spans by the name of their kind, generalises such words to `[TERM]`, and
-removes the words that reveal an entity completely. Documents without an entity are left as they are.
+reveals. As chance brings rare words and rare entities together too, n_et / n_t, how surely the word tells the entity, is
+smoothed: `prior` documents more hold the word, and the entity as often as documents do at large. So entities and words of
+one or two documents are judged like all others. Words that reveal at least the share `disclosure` become spans of kind
+`term`. Sanitising replaces base spans by the name of their kind, generalises such words to `[TERM]`, and
+removes those that stand nowhere but near the entity, which reveal it completely. Context is taken from the text whatever
+other entities stand in it; the letters of emails are no words. Documents without an entity are left as they are.
 
 Everything is built from DataFrame functions. Positions are code points: a pattern's matches and the texts between them
 alternate, so the running totals of their lengths are the positions. The patterns start a match only where one can
@@ -40,7 +43,7 @@ PATTERNS = {
 SIGNS = {"email": "@", "phone": "+"}
 WORD = r"\p{L}+"
 CONTEXT_CHARS = 80
-SUPPORT = 3
+PRIOR = 0.5
 DISCLOSURE = 0.9
 BLOCK = 256
 
@@ -111,21 +114,26 @@ def _span(kind: str, start: Column, end: Column) -> Column:
         start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"))
 
 
-def _side_words(gap: Column, side: str) -> Column:
-    """The end of the text before an entity or the start of the text after it, one character more than the context."""
-    return F.right(gap, F.lit(CONTEXT_CHARS + 1)) if side == "before" else F.left(gap, F.lit(CONTEXT_CHARS + 1))
+def _without_emails(text: Column) -> Column:
+    """The text with blanks in place of its emails, from the columns that `with_matches` added; places stay as they are."""
+    blank = lambda gap, match: F.concat(gap, F.repeat(F.lit(" "), F.coalesce(F.length(match), F.lit(0))))
+    return F.when(F.size("email_m") > 0, F.array_join(F.zip_with("email_g", "email_m", blank), "")).otherwise(text)
 
 
 def _entities(kind: str) -> Column:
     """The valid matches of a kind, from the columns that `with_matches` added."""
-    gaps, starts = F.col(f"{kind}_g"), F.col(f"{kind}_s")
+    starts, words = F.col(f"{kind}_s"), F.col("words")
+    more = CONTEXT_CHARS + 1  # a character more than the context tells whether a word is cut
 
     def entity(value, i):
         start = F.get(starts, i)
+        end = start + F.length(value)
+        first = F.greatest(start - more, F.lit(0))
         return F.struct(
-            _span(kind, start, start + F.length(value)).alias("span"), value.alias("value"),
+            _span(kind, start, end).alias("span"), value.alias("value"),
             F.xxhash64(F.lit(kind), F.lower(value)).alias("entity"),
-            _side_words(F.get(gaps, i), "before").alias("before"), _side_words(F.get(gaps, i + 1), "after").alias("after"))
+            F.substring(words, (first + 1).cast("int"), (start - first).cast("int")).alias("before"),
+            F.substring(words, (end + 1).cast("int"), F.lit(more)).alias("after"))
 
     return F.filter(F.transform(f"{kind}_m", entity), lambda e: _valid(kind, e["value"]))
 
@@ -134,11 +142,11 @@ def with_spans(rows: DataFrame, text: str = "text") -> DataFrame:
     """Adds `base`, the valid spans by start and kind, and `entities`, each with the texts on its two sides."""
     text_column = F.col(text)
     kept = rows.columns
-    entities = []
     for kind in BASE_KINDS:
         where = F.contains(text_column, F.lit(SIGNS[kind])) if kind in SIGNS else text_column.rlike("[0-9]")
         rows = with_matches(rows, kind, text, PATTERNS[kind], where)
-        entities.append(_entities(kind))
+    rows = rows.withColumn("words", _without_emails(text_column))
+    entities = [_entities(kind) for kind in BASE_KINDS]
     rows = rows.withColumn("entities", F.concat(*entities))
     return rows.select(
         *kept, F.array_sort(F.transform("entities", lambda e: e["span"])).alias("base"), "entities")
@@ -178,36 +186,40 @@ def contexts(found: DataFrame) -> DataFrame:
     return out[0].union(out[1])
 
 
-def disclosing(docs: DataFrame, found: DataFrame, near: DataFrame, support: int, disclosure: float) -> DataFrame:
-    """entity, term, and share of the entity's information that the term reveals, where that is too much."""
+def disclosing(docs: DataFrame, found: DataFrame, near: DataFrame, prior: float, disclosure: float) -> DataFrame:
+    """entity, term, share of the entity's information that the term reveals, and whether it does so completely, where that is too much."""
     n = found.count()
     by_document = near.groupBy("doc_id", "digest", "entity", "term").agg(F.lit(1).alias("one"))
     # Repeated rows of one document count as often as they occur.
     times = found.where(F.size("entities") > 0).groupBy("doc_id", "digest").agg(F.count("*").alias("times"))
     same = F.col("doc_id").eqNullSafe(F.col("t_doc_id")) & (F.col("digest") == F.col("t_digest"))
     counted = by_document.join(times.withColumnsRenamed({"doc_id": "t_doc_id", "digest": "t_digest"}), same)
-    pairs = counted.groupBy("entity", "term").agg(F.sum("times").alias("n_et")).where(F.col("n_et") >= support)
+    pairs = counted.groupBy("entity", "term").agg(F.sum("times").alias("n_et"))
     entities = (
         found.select(F.explode(F.array_distinct(F.transform("entities", lambda e: e["entity"]))).alias("entity"))
         .groupBy("entity").agg(F.count("*").alias("n_e")))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0)))
+    text = F.coalesce("text", F.lit(""))
+    outside = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
+    words = F.array_distinct(F.regexp_extract_all(F.lower(outside), F.lit(WORD), F.lit(0)))
     terms = (
         docs.select(F.explode(words).alias("word")).select(F.xxhash64("word").alias("term"))
         .groupBy("term").agg(F.count("*").alias("n_t")))
     information = F.log2(F.lit(float(n)) / F.col("n_e"))
-    shared = F.log2(F.col("n_et") * F.lit(float(n)) / (F.col("n_e") * F.col("n_t")))
-    share = F.when(information > 0, shared / information).otherwise(F.lit(0.0))
-    judged = pairs.join(entities, "entity").join(terms, "term").select("entity", "term", share.alias("share"))
+    # The share is 1 for a word that always tells the entity, and 0 for one that tells it no better than chance.
+    told = (F.col("n_et") + F.lit(float(prior)) * F.col("n_e") / F.lit(float(n))) / (F.col("n_t") + F.lit(float(prior)))
+    share = F.when(information > 0, 1 + F.log2(told) / information).otherwise(F.lit(0.0))
+    whole = (information > 0) & (F.col("n_et") >= F.col("n_t"))
+    judged = pairs.join(entities, "entity").join(terms, "term").select("entity", "term", share.alias("share"), whole.alias("whole"))
     return judged.where(F.col("share") >= disclosure)
 
 
-def term_spans(docs: DataFrame, found: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def term_spans(docs: DataFrame, found: DataFrame, prior: float = PRIOR, disclosure: float = DISCLOSURE) -> DataFrame:
     """Per document key, the spans of disclosing words, and for each whether it reveals an entity completely."""
     near = materialise(contexts(found), "contexts")
-    too_much = disclosing(docs, found, near, support, disclosure)
-    hits = near.join(too_much, ["entity", "term"]).groupBy("doc_id", "digest", "start", "end").agg(F.max("share").alias("share"))
+    too_much = disclosing(docs, found, near, prior, disclosure)
+    hits = near.join(too_much, ["entity", "term"]).groupBy("doc_id", "digest", "start", "end").agg(F.max("whole").alias("whole"))
     term = F.struct(
-        _span("term", F.col("start"), F.col("end")).alias("span"), (F.col("share") >= 1 - 1e-9).alias("whole"))
+        _span("term", F.col("start"), F.col("end")).alias("span"), F.col("whole"))
     # A document's spans are part of a row that is smaller than the document.
     return hits.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_list(term)).alias("terms"))
 
@@ -223,10 +235,10 @@ def _as_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
-def find_spans(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def find_spans(docs: DataFrame, prior: float = PRIOR, disclosure: float = DISCLOSURE) -> DataFrame:
     """Per document: counts of the base kinds, a digest of the base spans, and all spans as text."""
     found = find_base(docs)
-    rows = _join_terms(found, term_spans(docs, found, support, disclosure))
+    rows = _join_terms(found, term_spans(docs, found, prior, disclosure))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     extra = F.coalesce(F.transform("terms", lambda t: t["span"]), F.slice("base", 1, 0))
     return rows.select(
@@ -235,10 +247,10 @@ def find_spans(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISC
         _as_text(F.array_sort(F.concat("base", extra))).alias("spans"))
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+def sanitise(docs: DataFrame, prior: float = PRIOR, disclosure: float = DISCLOSURE) -> DataFrame:
     """The documents with base spans and disclosing words replaced; `n_chars`, where there is one, follows the text."""
     found = find_base(docs)
-    terms = materialise(term_spans(docs, found, support, disclosure), "terms")
+    terms = materialise(term_spans(docs, found, prior, disclosure), "terms")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("digest"), text.alias("text"))
