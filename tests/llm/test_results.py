@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.frames import words
 from tests.llm.plain_pii import base_spans
-from tidemark.llm import decontaminate, graph, langid, lm, minhash, packing, pii, quality, substrings, vectors
+from tidemark.llm import decontaminate, graph, html, langid, lm, minhash, packing, pii, quality, substrings, vectors
 
 SF_DIR = "/root/testdata/sf0.001"
 TRICKY = [
@@ -264,3 +265,19 @@ def test_vector_links(spark):
     np.fill_diagonal(near, False)
     found = {r["vec_id"]: r["n_links"] for r in vectors.link(df).collect()}
     assert near.sum() > 1000 and [found[i] for i in range(1500)] == near.sum(axis=1).tolist()
+
+
+def test_page_blocks_and_their_words():
+    texts = lambda page: [b[0] for b in html.blocks(page)]
+    assert texts("<p>one <svg width='1'/> two</p><p>three</p>") == ["one two", "three"]
+    assert texts("<p>one <svg><path d='M1'/>no</svg>two</p>") == ["one two"]
+    assert texts("<p>as <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>TeX</annotation></math> is</p><math/><p>on</p>") == ["as x=2 is", "on"]
+    page = lambda text: html.Featuriser().page([(text, ("p",), 0)])
+    assert (page("cookie") != page("cinema")).any() and (page("Cookie,")[0, :-4] == page("cookie")[0, :-4]).all()
+
+
+def test_whole_pages_are_learned_from():
+    page = "<article>" + "<p>text</p>" * 300 + "</article><footer>foot</footer>"
+    batch = pa.RecordBatch.from_pydict({"html": [page], "place": [1]})
+    lengths = [len(y) for out in html._examples([batch]) for y in out.column("y").to_pylist()]
+    assert lengths[:3] == [120, 120, 61]

@@ -28,21 +28,25 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_sample, slices, texts_of
 
 SAMPLE_PAGES = 400
-SAMPLE_BLOCKS = 120  # of a sample page at most
-PATH_SIZE, WORD_SIZE, MEASURES = 96, 16, 4
+PIECE_BLOCKS = 120  # longer sample pages are learned from in pieces
+PATH_SIZE, WORD_SIZE, MEASURES = 96, 128, 4
 SIZE = PATH_SIZE + WORD_SIZE + MEASURES
 HIDDEN = 12
 EPOCHS = 12
 
-HIDDEN_ELEMENTS = "script|style|noscript|template|svg|iframe|object|select|textarea|title|math|canvas|audio|video"
+HIDDEN_ELEMENTS = "script|style|noscript|template|svg|iframe|object|select|textarea|title|annotation-xml|annotation|canvas|audio|video"
+FOREIGN = "svg|annotation-xml|annotation"  # of those, what "/>" closes
 MARKUP = re.compile(
-    rf"<!--(?:.*?-->|.*\Z)|<({HIDDEN_ELEMENTS})\b(?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+>(?:.*?</\1\s*>|.*\Z)"
+    rf"<!--(?:.*?-->|.*\Z)|<(?:{FOREIGN})\b(?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+(?<=/)>|<({HIDDEN_ELEMENTS})\b(?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+>(?:.*?</\1\s*>|.*\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"']+|\"[^\"<]*\"|'[^'<]*')*+)>|<[!?][^>]*>", re.S | re.I)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong "
-    "sub sup time tt u var wbr label".split())
+    "sub sup time tt u var wbr label "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover "
+    "munderover mmultiscripts mprescripts mtable mtr mtd maction semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+MARKS = ".,:;!?()[]{}\"'«»“”‘’…"
 NAME = re.compile(r"[a-z]+")
 MAIN = frozenset({"article", "main"})
 OTHER = frozenset(
@@ -117,11 +121,23 @@ def guess(found: list[tuple[str, tuple[str, ...], int]]) -> list[bool]:
     return out
 
 
+class WordNumbers(dict):
+    """Numbers of words without case and the marks around them, remembered up to a bound."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        bare = word.strip(MARKS).lower() or word
+        value = self[word] = zlib.crc32(bare.encode("utf-8", "surrogatepass")) % WORD_SIZE
+        return value
+
+
 class Featuriser:
     """Vectors of blocks. Path vectors are remembered up to a bound."""
 
     def __init__(self):
         self.paths: dict[tuple[str, ...], np.ndarray] = {}
+        self.words = WordNumbers()
 
     def path(self, path: tuple[str, ...]) -> np.ndarray:
         found = self.paths.get(path)
@@ -140,8 +156,8 @@ class Featuriser:
         for i, (text, path, linked) in enumerate(found):
             x[i, :PATH_SIZE] = self.path(path)
             words = text.split()
-            ids = [len(w) * 7 + ord(w[0]) for w in words]
-            x[i, PATH_SIZE : PATH_SIZE + WORD_SIZE] = np.bincount(np.array(ids) % WORD_SIZE, minlength=WORD_SIZE) / len(ids)
+            ids = [self.words[w] for w in words]
+            x[i, PATH_SIZE : PATH_SIZE + WORD_SIZE] = np.bincount(ids, minlength=WORD_SIZE) / len(ids)
             x[i, -MEASURES:] = np.log1p(len(text)) / 8, min(1.0, linked / len(text)), i / len(found), text.endswith((".", "!", "?"))
         return x
 
@@ -299,19 +315,20 @@ def _examples(batches):
     for batch in slices(batches, 32):
         x, y = [], []
         for html, seed in zip(texts_of(batch, "html"), batch.column("place").to_pylist()):
-            found = blocks(html)[:SAMPLE_BLOCKS]
+            found = blocks(html)
             draw = np.random.default_rng(seed & 0xFFFFFFFF)
             for page, labels in ((found, guess(found)), varied(found, draw), varied(found, draw)):
-                if page:
-                    x.append(make.page(page).tobytes())
-                    y.append(np.array(labels, np.uint8).tobytes())
+                rows, kept = make.page(page), np.array(labels, np.uint8)
+                for start in range(0, len(page), PIECE_BLOCKS):
+                    x.append(rows[start : start + PIECE_BLOCKS].tobytes())
+                    y.append(kept[start : start + PIECE_BLOCKS].tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["x", "y"])
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Labeller:
     """A labeller from at most `sample_pages` pages, chosen by the hashes of their keys.
 
-    At most three layouts of `SAMPLE_BLOCKS` blocks or so of each come to the driver, which fits the model.
+    Three layouts of each, whole, come to the driver, which fits the model.
     """
     place = F.xxhash64("page_id")
     chosen = pages.select("page_id").where(F.col("page_id").isNotNull()).distinct()
