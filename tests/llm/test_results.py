@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.frames import words
 from tests.llm.plain_pii import base_spans
@@ -281,3 +282,11 @@ def test_whole_pages_are_learned_from():
     batch = pa.RecordBatch.from_pydict({"html": [page], "place": [1]})
     lengths = [len(y) for out in html._examples([batch]) for y in out.column("y").to_pylist()]
     assert lengths[:3] == [120, 120, 61]
+
+
+def test_repeated_rows_of_a_sampled_key_are_learned_once(spark, documents):
+    docs = documents.select("doc_id", "text").limit(60)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    key = docs.where(quality.trainable(F.col("doc_id"), quality.FOLDS, quality.HELD_OUT_FOLD)).agg(F.min("doc_id")).first()[0]
+    hot = docs.unionByName(docs.where(F.col("doc_id") == key).crossJoin(spark.range(200)).select("doc_id", "text"))
+    assert (quality.train(hot, labels) == quality.train(docs, labels)).all()

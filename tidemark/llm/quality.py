@@ -119,6 +119,12 @@ def clean_labels(labels: DataFrame, column: str = "quality") -> DataFrame:
     return each.where(F.col("low") == F.col("label")).select("doc_id", F.col("label").cast("double").alias("label"))
 
 
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """One row per sampled key, that with the least text hash, so that repeated rows of a key do not meet in one task."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return rows.groupBy("doc_id", "label", "place", "shard").agg(least).select("label", "place", "shard", "least.text")
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, column: str = "quality") -> np.ndarray:
     """Weights, the bias last, from at most `sample_rows` labelled documents outside the held-out fold.
 
@@ -130,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, co
     sample = bounded_sample(known, place, sample_rows).select(
         "doc_id", "label", place.alias("place"), F.pmod(F.shiftright(place, 40), F.lit(SHARDS)).cast("int").alias("shard"))
     # At most `sample_rows` narrow rows are broadcast.
-    examples = key_and_text(docs).join(F.broadcast(sample), "doc_id").select("shard", "place", "label", "text")
+    examples = one_text_each(key_and_text(docs).join(F.broadcast(sample), "doc_id")).select("shard", "place", "label", "text")
     examples = examples.mapInArrow(
         _featurise, "shard int, place long, label double, number array<int>, value array<float>")
     fitted = examples.groupBy("shard").applyInPandas(_fit_shard, "number long, weight double")
