@@ -62,6 +62,15 @@ def key_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column's texts one after the other, and where each begins and the last ends."""
+    column = column.cast(pa.large_string())
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    return whole[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
 def word_hash(word: bytes) -> int:
     """A 64-bit hash of a word."""
     return xxhash.xxh3_64_intdigest(word)

@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, html, langid, lm, minhash, packing, pii, quality, substrings, vectors
+from tidemark.llm import (
+    decontaminate, html, langid, lm, minhash, packing, pii, prefix_trie, quality, resampling, substrings, token_counts, vectors)
 from tidemark.llm.common import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +94,24 @@ def op10_language_id(spark, sf_dir):
     return langid.predict_documents(docs, langid.train(docs))
 
 
+@query
+def op11_importance_resampling(spark, sf_dir):
+    """The weight of every document for the benchmark's distribution, and its rank in the draw."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_token_counts(spark, sf_dir):
+    """The tokens of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_prefix_trie(spark, sf_dir):
+    """The nodes of the trie of rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark, sf_dir):
     """Quality, near duplicates, benchmark passages, personal data, packing, one after the other."""
