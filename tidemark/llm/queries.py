@@ -11,9 +11,10 @@ import corpus_pipeline
 from tidemark.llm import (
     decontaminate, html, langid, lm, minhash, packing, pii, prefix_trie, quality, resampling, substrings, token_counts, vectors)
 from tidemark.llm.common import importable
+from tidemark.llm.sql import OP11, OP13
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_importance_resampling": OP11, "op13_conversation_prefix_trie": OP13}
 
 
 def query(function):
