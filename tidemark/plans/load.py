@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.cleaning import nan_to_null
+from tidemark.functions.decoding import unused_name
 from tidemark.functions.hashing import hash_to_string
 from tidemark.operators.projection import stamp_load_id
 from tidemark.operators.versions import hash_anti_join, latest_per_key, mark_new
+from tidemark.operators.screening import screened_rows_not_in
+from tidemark.plans.current import CurrentVersions
+from tidemark.sinks.committed import CommittedTarget
 from tidemark.sinks.targets import Target, append_by_name, count_load, delete_load
 from tidemark.specs import HASH_COLUMN, LOAD_COLUMN
 from tidemark.workspace import landed
@@ -39,13 +43,17 @@ def incremental_rows(
     load_col: str = LOAD_COLUMN,
     hash_col: str = HASH_COLUMN,
     match_on: str = "hash",
+    current: bool = False,
+    screened: bool = False,
 ) -> DataFrame:
     """The rows a load would append: stamped with the load id, hash not among the target's latest, NaN as NULL.
 
     The hash gets the type it has in the target, a binary one becoming hex text.
     With `match_on="hash"` a row is also dropped when another key's latest row has its hash; with
     "key_hash" only its own key's latest row counts, and a row whose key is NULL has none: it is appended by every
-    load. Rows deleted at the source are not detected.
+    load. Rows deleted at the source are not detected. `current` says that `target` has the latest rows only
+    (see `plans.current`), and `screened` keeps rows that are certainly new out of the join's shuffle (see
+    `operators.screening`).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if match_on not in MATCH_ON:
@@ -58,9 +66,11 @@ def incremental_rows(
     stored = history.schema[hash_col].dataType
     if stamped.schema[hash_col].dataType != stored:
         stamped = stamped.withColumn(hash_col, F.col(hash_col).cast(stored))
-    latest = latest_per_key(history, keys, load_col)
-    fresh = hash_anti_join(stamped, latest, hash_col, keys=keys if match_on == "key_hash" else None)
-    return nan_to_null(fresh)
+    latest = history if current else latest_per_key(history, keys, load_col)
+    match_keys = keys if match_on == "key_hash" else []
+    if screened:
+        return nan_to_null(screened_rows_not_in(stamped, latest, [*match_keys, hash_col]))
+    return nan_to_null(hash_anti_join(stamped, latest, hash_col, keys=match_keys or None))
 
 
 @dataclass(frozen=True)
@@ -84,6 +94,8 @@ def incremental_load(
     match_on: str = "hash",
     delete_first: bool = False,
     land: bool = True,
+    current: CurrentVersions | None = None,
+    screened: bool = False,
 ) -> LoadResult:
     """Append the new and changed rows of `batch` to `target`, and count them.
 
@@ -91,9 +103,14 @@ def incremental_load(
     very rows compared. They come from the written files rather than from counters kept by tasks,
     which would count twice when a lost task is run again. `land=False` skips this for a source that
     is cheap to read twice and does not change. `delete_first` removes an earlier attempt with the
-    same load id, such as one that failed half-way; without it, a used id is an error.
+    same load id, such as one that failed half-way; without it, a used id is an error. With `current`, the
+    target's current versions stand for its history and comprise the load afterwards.
     """
     spark = batch.sparkSession
+    if current is not None and (current.target.path != getattr(target, "path", None) or
+                                (list(current.keys), current.load_col, current.hash_col) !=
+                                ([keys] if isinstance(keys, str) else list(keys), load_col, hash_col)):
+        raise ValueError("the current versions are of another target or of other columns")
     if delete_first:
         delete_load(spark, target, load_id, load_col)
     if any(f.name.lower() == hash_col.lower() and isinstance(f.dataType, T.BinaryType)
@@ -104,20 +121,23 @@ def incremental_load(
 
     with landed(batch, f"landed-{load_id}") if land else nullcontext(batch) as rows:
         fresh = incremental_rows(
-            rows, target.read(spark), keys=keys, load_id=load_id, load_col=load_col, hash_col=hash_col,
-            match_on=match_on,
+            rows, target.read(spark) if current is None else current.read(spark), keys=keys, load_id=load_id,
+            load_col=load_col, hash_col=hash_col, match_on=match_on, current=current is not None, screened=screened,
         )
         # Few rows usually survive out of many tasks; rebalancing them makes a few well-filled files.
-        append_by_name(fresh.hint("rebalance"), target)
+        append_by_name(fresh.hint("rebalance"), target.for_load(load_id) if isinstance(target, CommittedTarget) else target)
         retrieved = rows.count()
+    if current is not None:
+        current.refresh(spark)
     inserted = count_load(spark, target, load_id, load_col)
     return LoadResult(load_id, retrieved, inserted, len(fresh.columns))
 
 
 def load_counts(batch: DataFrame, latest: DataFrame, by: Sequence[str], *, hash_col: str = HASH_COLUMN) -> DataFrame:
     """Rows retrieved and rows a load would insert, per value of `by`, without loading. One pass over the batch."""
-    marked = mark_new(batch, latest, hash_col, "_new")
+    flag = unused_name(batch, "_new")
+    marked = mark_new(batch, latest, hash_col, flag)
     return marked.groupBy(*by).agg(
         F.count(F.lit(1)).alias("retrieved"),
-        F.count_if("_new").alias("inserted"),
+        F.count_if(flag).alias("inserted"),
     )

@@ -12,6 +12,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.plans.current import CurrentVersions
+from tidemark.plans.journal import AUDIT_COLUMNS, AUDIT_SCHEMA, FINISHED, STARTED, RunJournal, spec_columns
 from tidemark.plans.load import incremental_load
 from tidemark.sinks.targets import Target
 from tidemark.specs import FeedSpec
@@ -19,10 +21,6 @@ from tidemark.workspace import delete_folder, intermediates, new_path, written
 
 log = logging.getLogger(__name__)
 
-AUDIT_SCHEMA = (
-    "target_table string, company string, source_database string, hierarchy int, load_id bigint, "
-    "retrieved bigint, inserted bigint, columns int, status string, error string"
-)
 MAX_CONCURRENT = 8
 
 
@@ -82,15 +80,23 @@ def _run_one(
     target: Callable[[FeedSpec], Target],
     load_id: Callable[[FeedSpec], int],
     land: Callable[[FeedSpec], bool],
+    current: Callable[[FeedSpec], CurrentVersions | None],
+    journal: RunJournal | None,
 ) -> tuple:
-    number = None
+    number, resumed = None, False
     try:
-        number = load_id(spec)
+        before = journal.last(spark, spec) if journal else None
+        if before and before["status"] in FINISHED:
+            return tuple(before[c] for c in AUDIT_COLUMNS)
+        resumed = bool(before) and before["load_id"] is not None
+        number = before["load_id"] if resumed else load_id(spec)
+        if journal:
+            journal.record(spark, spec, (*spec_columns(spec), number, None, None, None, STARTED, None))
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.label)
         with intermediates(spark):
             result = incremental_load(
                 read(spec), target(spec), keys=spec.keys, load_id=number,
-                load_col=spec.load_column, delete_first=spec.delete_last, land=land(spec),
+                load_col=spec.load_column, delete_first=spec.delete_last or resumed, land=land(spec), current=current(spec),
             )
         status = "loaded" if result.inserted else "empty"
         counts = (result.retrieved, result.inserted, result.columns)
@@ -98,9 +104,10 @@ def _run_one(
     except Exception as failure:
         log.exception("feed %s failed", spec.label)
         status, counts, error = "failed", (None, None, None), f"{type(failure).__name__}: {failure}"
-    return (
-        spec.target_table, spec.company, spec.source_database, spec.hierarchy, number, *counts, status, error
-    )
+    outcome = (*spec_columns(spec), number, *counts, status, error)
+    if journal:
+        journal.record(spark, spec, outcome)
+    return outcome
 
 
 def run_feeds(
@@ -111,6 +118,8 @@ def run_feeds(
     target: Callable[[FeedSpec], Target],
     load_id: Callable[[FeedSpec], int],
     land: Callable[[FeedSpec], bool] = lambda spec: True,
+    current: Callable[[FeedSpec], CurrentVersions | None] = lambda spec: None,
+    journal: RunJournal | None = None,
     max_concurrent: int = MAX_CONCURRENT,
 ) -> DataFrame:
     """Load every feed and return the audit, one row per feed.
@@ -119,6 +128,10 @@ def run_feeds(
     whether to land its batch first (see `incremental_load`). Feeds of one target
     run one after the other, as each must see what the one before appended; different targets are
     submitted from a few driver threads, and Spark's fair scheduler shares the executors among them.
+
+    `current` gives the current versions of a feed's target, if they are kept. With a `journal`, a run that was
+    cut short is finished by calling this again: feeds it has as finished are not run again, and the others go on
+    under the load ids they began with, after what these left behind is deleted.
     """
     by_target: dict[str, list[FeedSpec]] = {}
     for spec in specs:
@@ -126,7 +139,7 @@ def run_feeds(
 
     @inheritable_thread_target(spark)
     def run_target(feeds: list[FeedSpec]) -> list[tuple]:
-        return [_run_one(spark, spec, read, target, load_id, land) for spec in feeds]
+        return [_run_one(spark, spec, read, target, load_id, land, current, journal) for spec in feeds]
 
     with ThreadPoolExecutor(max_workers=max_concurrent) as pool:
         outcomes = [row for rows in pool.map(run_target, by_target.values()) for row in rows]

@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.projection import stamp_load_id
+from tidemark.operators.screening import screened_rows_not_in
 from tidemark.operators.versions import hash_anti_join, latest_per_key, next_load_id
-from tidemark.plans.load import incremental_rows, load_counts
+from tidemark.plans.current import CurrentVersions
+from tidemark.plans.load import incremental_load, incremental_rows, load_counts
 from tidemark.plans.promote import promotion_manifest
 from tidemark.queries.frames import (
+    OPENING_CUT,
+    RELOADED,
     SQL_FEED_ROWS,
     SQL_LATEST,
     SQL_ORDER_BATCH,
@@ -17,9 +21,12 @@ from tidemark.queries.frames import (
     feed_rows,
     order_batch,
     order_history,
+    order_opening,
 )
 from tidemark.queries.registry import query, table
+from tidemark.sinks import CommittedTarget, delete_load
 from tidemark.specs import feed_counts, select_feeds
+from tidemark.workspace import new_path
 
 SQL_BATCH_AND_LATEST = f"""
 WITH batch AS ({SQL_ORDER_BATCH}), history AS ({SQL_ORDER_HISTORY}), latest AS ({SQL_LATEST})"""
@@ -57,6 +64,42 @@ def q_latest_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(order_history(spark, sf_dir), "ORDERS_ID").select("ORDERS_ID", "B_LOADID", "HASH_VALUE")
 
 
+SQL_THREE_LOADS = f"""{SQL_BATCH_AND_LATEST},
+all_rows AS (
+  SELECT ORDERS_ID, B_LOADID, HASH_VALUE FROM history
+  UNION ALL
+  SELECT ORDERS_ID, 3, HASH_VALUE FROM batch b
+  WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.HASH_VALUE IS NOT DISTINCT FROM b.HASH_VALUE))"""
+
+
+def three_loads(spark: SparkSession, sf_dir: str) -> CurrentVersions:
+    """The opening, the finished orders of high priority and all orders, loaded one after the other."""
+    batch = order_batch(spark, sf_dir)
+    opened = F.col("o_orderdate") < F.lit(OPENING_CUT).cast("timestamp_ntz")
+    reloaded = batch.where(opened & (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin(*RELOADED))
+    target = CommittedTarget(new_path(spark, "orders"), stamp_load_id(batch, 0).schema)
+    current = CurrentVersions.of(target, "ORDERS_ID")
+    for load_id, rows in enumerate([order_opening(spark, sf_dir), reloaded, batch], 1):
+        incremental_load(rows, target, keys="ORDERS_ID", load_id=load_id, land=False, current=current, screened=load_id == 3)
+    return current
+
+
+@query(f"""{SQL_THREE_LOADS}
+SELECT a.* FROM all_rows a
+JOIN (SELECT ORDERS_ID, max(B_LOADID) AS B_LOADID FROM all_rows GROUP BY ORDERS_ID) g USING (ORDERS_ID, B_LOADID)""")
+def q_current_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of current versions after three loads that compared with it."""
+    return three_loads(spark, sf_dir).read(spark)
+
+
+@query(f"{SQL_THREE_LOADS} SELECT * FROM all_rows WHERE B_LOADID <> 2")
+def q_committed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of three loads in a target with lists of loads, the second one deleted."""
+    target = three_loads(spark, sf_dir).target
+    delete_load(spark, target, 2)
+    return target.read(spark).select("ORDERS_ID", "B_LOADID", "HASH_VALUE")
+
+
 SQL_NULL_HASHES = f"""
 WITH batch AS (
   SELECT ORDERS_ID, o_orderpriority,
@@ -68,6 +111,18 @@ seen AS (
 @query(f"""{SQL_NULL_HASHES}
 SELECT * FROM batch b WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.HASH_VALUE IS NOT DISTINCT FROM b.HASH_VALUE)""")
 def q_hash_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_anti_join(*_null_hashes(spark, sf_dir))
+
+
+@query(f"""{SQL_NULL_HASHES}
+SELECT * FROM batch b WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.HASH_VALUE IS NOT DISTINCT FROM b.HASH_VALUE)""")
+def q_hash_anti_join_screened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, those that are new for certain told apart by bit sets."""
+    batch, seen = _null_hashes(spark, sf_dir)
+    return screened_rows_not_in(batch, seen, ["HASH_VALUE"])
+
+
+def _null_hashes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     batch = order_batch(spark, sf_dir).select(
         "ORDERS_ID",
         "o_orderpriority",
@@ -76,7 +131,7 @@ def q_hash_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = order_history(spark, sf_dir).select(
         F.when(F.col("B_LOADID") == 1, F.col("HASH_VALUE")).alias("HASH_VALUE")
     )
-    return hash_anti_join(batch, seen)
+    return batch, seen
 
 
 @query("SELECT user_id, max(event_id) AS latest_event FROM events GROUP BY user_id")

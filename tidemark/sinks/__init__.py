@@ -1,5 +1,6 @@
 """Targets: appending by name or by position, deleting a load, emptying and creating tables."""
 
+from tidemark.sinks.committed import CommittedTarget
 from tidemark.sinks.schema import create_like, map_schema, map_type, mapped
 from tidemark.sinks.targets import (
     JdbcTarget,
@@ -13,6 +14,7 @@ from tidemark.sinks.targets import (
 )
 
 __all__ = [
+    "CommittedTarget",
     "JdbcTarget",
     "PathTarget",
     "TableTarget",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.versions import without_load
+from tidemark.sinks.committed import CommittedTarget
 from tidemark.sources.jdbc import JdbcConnection, hash_predicates, jdbc_options, jdbc_write_options
 from tidemark.specs import LOAD_COLUMN
 from tidemark.workspace import delete_folder, empty_frame, landed
@@ -170,7 +171,7 @@ class JdbcTarget:
         return False
 
 
-Target = TableTarget | PathTarget | JdbcTarget
+Target = TableTarget | PathTarget | CommittedTarget | JdbcTarget
 
 
 def _as_type(column, field: T.StructField):
@@ -179,7 +180,7 @@ def _as_type(column, field: T.StructField):
 
 def count_load(spark: SparkSession, target: Target, load_id: int, load_col: str = LOAD_COLUMN) -> int:
     """Rows of a load in the target."""
-    if isinstance(target, JdbcTarget):
+    if isinstance(target, JdbcTarget | CommittedTarget):
         return target.count_load(spark, load_id, load_col)
     return target.read(spark).where(F.col(load_col) == F.lit(load_id)).count()
 
@@ -215,7 +216,8 @@ def append_by_position(df: DataFrame, target: Target) -> None:
 def delete_load(spark: SparkSession, target: Target, load_id: int, load_col: str = LOAD_COLUMN) -> None:
     """Delete the rows of one load.
 
-    In a target partitioned by the load id this drops one partition. In any other, the remaining rows
+    In a target partitioned by the load id this drops one partition, and a target with lists of committed loads
+    rewrites the files that hold the load. In any other, the remaining rows
     are written beside it first and then replace it, since files cannot be edited in place; that copy is
     kept in the shared folder if replacing them fails.
     """

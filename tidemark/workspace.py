@@ -75,10 +75,47 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file(spark: SparkSession, path: str):
+    """A path with the file system it lies on."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file, file.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with everything in it, on whatever file system it lies."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    folder, system = _file(spark, path)
+    system.delete(folder, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder; none if there is no folder."""
+    folder, system = _file(spark, path)
+    return sorted(status.getPath().getName() for status in system.listStatus(folder)) if system.exists(folder) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    file, system = _file(spark, path)
+    stream = system.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole or not at all. False, and nothing written, if there is one of that name."""
+    file, system = _file(spark, path)
+    if system.exists(file):
+        return False
+    part, _ = _file(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    stream = system.create(part, False)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    if system.rename(part, file):
+        return True
+    system.delete(part, False)
+    return False
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
