@@ -20,17 +20,27 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def latest_per_key(df: DataFrame, keys: str | Sequence[str], version_col: str = LOAD_COLUMN) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: str | Sequence[str], version_col: str = LOAD_COLUMN, *, co_located: bool = False
+) -> DataFrame:
     """Rows whose version is the highest of their key; all rows tied at it, none without key or version.
 
     The maxima are aggregated on the map side, so a key with a third of all rows costs one row per
     map task. The rows then meet their maximum in a semi join on key **and** version: the versions of
     a hot key go to different tasks, and AQE can split a partition that is still too large, which it
     could not do for a window over the key.
+
+    `co_located` says that `df` is a table bucketed by the key: the join is then on the key alone, the
+    version being compared within it, and neither the maxima nor the join move rows. A task reads one bucket and holds
+    one row per key of it, so a hot key costs its bucket's task time and no memory.
     """
     keys = _names(keys)
     known = df.where(_all([F.col(c).isNotNull() for c in [*keys, version_col]]))
     newest = known.groupBy(*keys).agg(F.max(version_col).alias(version_col))
+    if co_located:
+        newest = newest.toDF(*[f"_newest_{i}" for i in range(len(newest.columns))])
+        same = [known[c] == newest[f"_newest_{i}"] for i, c in enumerate(keys)]
+        return known.join(newest, _all([*same, known[version_col] >= newest[f"_newest_{len(keys)}"]]), "left_semi")
     return known.join(newest, [*keys, version_col], "left_semi")
 
 

@@ -13,6 +13,7 @@ from tidemark.plans.feeds.survey import (
     attribute_type_feed,
     key_lookup_feed,
     key_value_feed,
+    key_value_registry,
     survey_findings,
     survey_rows,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "inspections_feed",
     "key_lookup_feed",
     "key_value_feed",
+    "key_value_registry",
     "residents_feed",
     "schemes_feed",
     "survey_findings",

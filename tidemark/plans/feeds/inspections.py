@@ -9,6 +9,7 @@ from tidemark.functions.cleaning import blank_to_null, equals_padded, isnull_def
 from tidemark.functions.dates import Instant, as_timestamp, text_or_default_date, text_to_date, unparsed
 from tidemark.functions.hashing import row_hash
 from tidemark.operators.numbering import global_row_number
+from tidemark.plans.rejects import reject_marks
 
 KEY = "ESTATE_INSP_AND_CLEANING_"
 
@@ -57,11 +58,19 @@ _TREATMENTS = {
 
 def inspections_bad_dates(view: DataFrame) -> DataFrame:
     """One row: for every date column, the number of texts that are no date and not blank."""
-    return view.agg(*[unparsed(F.when(F.rtrim(c) != "", F.col(c)), text_to_date(F.col(c))).alias(c) for c in DATES])
+    return view.agg(*[unparsed(*_checked(c)).alias(c) for c in DATES])
 
 
-def inspections_feed(view: DataFrame, *, as_of: Instant, creator: str) -> DataFrame:
-    """The view's texts trimmed, blanks and NULL as '' or 1900-01-01, dates parsed, rows numbered by property reference."""
+def _checked(c: str) -> tuple[Column, Column]:
+    """A date column's text, NULL where blank, and what it is read as."""
+    return F.when(F.rtrim(c) != "", F.col(c)), text_to_date(F.col(c))
+
+
+def inspections_feed(view: DataFrame, *, as_of: Instant, creator: str, rejects: bool = False) -> DataFrame:
+    """The view's texts trimmed, blanks and NULL as '' or 1900-01-01, dates parsed, rows numbered by property reference.
+
+    With `rejects`, texts that are no date are marked besides, and a load splits their rows off.
+    """
     as_of = as_timestamp(as_of)
     numbered = global_row_number(view.select(*HASHED), ["prop_ref"], KEY)
     return numbered.select(
@@ -71,4 +80,5 @@ def inspections_feed(view: DataFrame, *, as_of: Instant, creator: str) -> DataFr
         row_hash(*HASHED).alias("HASH_VALUE"),
         as_of.alias("B_CREDATE"),
         F.lit(creator).alias("B_CREATOR"),
+        *([reject_marks({c: _checked(c) for c in DATES})] if rejects else []),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import parse_oracle_date, unparsed
+from tidemark.plans.rejects import reject_marks
 
 # The staging table's columns in order, and which of them are dates.
 COLUMNS = [
@@ -18,13 +19,16 @@ COLUMNS = [
 DATES = ("START_OF_TERM", "END_OF_TERM", "B_CREDATE")
 
 
-def residents_feed(view: DataFrame, *, current_year: int = 2000, strict: bool = False) -> DataFrame:
-    """The view's columns, dates parsed. A text that is no date becomes NULL, or an error with `strict`."""
-    return view.select(*[
-        parse_oracle_date(F.col(c), current_year=current_year, strict=strict).alias(c) if c in DATES
-        else F.col(c).alias(c)
-        for c in COLUMNS
-    ])
+def residents_feed(
+    view: DataFrame, *, current_year: int = 2000, strict: bool = False, rejects: bool = False
+) -> DataFrame:
+    """The view's columns, dates parsed. A text that is no date becomes NULL, or an error with `strict`.
+
+    With `rejects`, such texts are marked besides, and a load splits their rows off.
+    """
+    dates = {c: parse_oracle_date(F.col(c), current_year=current_year, strict=strict) for c in DATES}
+    marks = [reject_marks({c: (F.col(c), parsed) for c, parsed in dates.items()})] if rejects else []
+    return view.select(*[dates[c].alias(c) if c in dates else F.col(c).alias(c) for c in COLUMNS], *marks)
 
 
 def residents_bad_dates(view: DataFrame, *, current_year: int = 2000) -> DataFrame:

@@ -17,6 +17,8 @@ from tidemark.functions.hashing import row_hash
 from tidemark.operators.membership import rows_in
 from tidemark.operators.numbering import global_row_number
 from tidemark.operators.projection import not_in, union_all_padded
+from tidemark.operators.registry import KeyRegistry
+from tidemark.workspace import materialise
 
 # Fixed values of the three staging tables. The source system is a number in the first, text in the others.
 KEY_LOOKUP = {"B_CLASSNAME": "AttributeKeyLookup", "F_SOURCE_SYSTEM": 41, "F_DATA_OWNERSHIP": 1}
@@ -100,6 +102,15 @@ def attribute_type_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant
     )
 
 
+# What names a row of the key-value feed at the source.
+NATURAL_KEY = ["ComponentID", "AssetID", "UPRN", "RepairElement", "Component"]
+
+
+def key_value_registry(path: str, asset: DataFrame, findings: DataFrame) -> KeyRegistry:
+    """A registry for the feed's natural keys, with the types they have in the views."""
+    return KeyRegistry.of(path, asset.select("AssetID", "UPRN").join(findings, "AssetID").select(*NATURAL_KEY))
+
+
 def key_value_feed(
     asset: DataFrame,
     findings: DataFrame,
@@ -108,6 +119,7 @@ def key_value_feed(
     creator: str,
     excluded: Sequence[str] = EXCLUDED_ELEMENTS,
     numbered: bool = True,
+    registry: KeyRegistry | None = None,
 ) -> DataFrame:
     """One row per asset, element and component, with the maxima of its attribute and repair rows.
 
@@ -116,7 +128,8 @@ def key_value_feed(
 
     The key is a row number, which shifts whenever a row is added upstream: the load then compares a
     row with another row's history and may append it again. `numbered=False` gives a stable key
-    instead, the hash of the group's natural key.
+    instead, the hash of the group's natural key, and a `registry` of natural keys numbers that stay: groups new to it get
+    the next ones when this is called, in the order of the row numbers.
 
     The maxima are taken before the join to the assets, which changes nothing, as a repeated row does
     not change a maximum. An asset with very many findings is thus reduced on the map side and spread
@@ -136,9 +149,13 @@ def key_value_feed(
         F.max("Surveyor").alias("Surveyor"),
     )
     groups = asset.select("AssetID", "UPRN").distinct().join(maxima, "AssetID")
-    natural = ["ComponentID", "AssetID", "UPRN", "RepairElement", "Component"]
+    natural = NATURAL_KEY
     key = "PROP_ATTRIBUTE_KEY_VALUE_"
-    if numbered:
+    if registry is not None:
+        groups = materialise(groups, "groups")
+        registry.register(groups, ["UPRN", "SurveyAttributeID"])
+        keyed = registry.numbered(groups, key)
+    elif numbered:
         keyed = global_row_number(
             groups, ["UPRN", "SurveyAttributeID"], key, tie_break=natural, distinct_rows=True
         )

@@ -14,7 +14,7 @@ from tidemark.workspace import names_in, put_text, read_text
 
 AUDIT_SCHEMA = (
     "target_table string, company string, source_database string, hierarchy int, load_id bigint, "
-    "retrieved bigint, inserted bigint, columns int, status string, error string"
+    "retrieved bigint, inserted bigint, rejected bigint, columns int, status string, error string"
 )
 AUDIT_COLUMNS = [field.split()[0] for field in AUDIT_SCHEMA.split(", ")]
 STARTED = "started"

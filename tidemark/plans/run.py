@@ -82,6 +82,7 @@ def _run_one(
     land: Callable[[FeedSpec], bool],
     current: Callable[[FeedSpec], CurrentVersions | None],
     journal: RunJournal | None,
+    rejects: Target | None,
 ) -> tuple:
     number, resumed = None, False
     try:
@@ -91,19 +92,20 @@ def _run_one(
         resumed = bool(before) and before["load_id"] is not None
         number = before["load_id"] if resumed else load_id(spec)
         if journal:
-            journal.record(spark, spec, (*spec_columns(spec), number, None, None, None, STARTED, None))
+            journal.record(spark, spec, (*spec_columns(spec), number, None, None, None, None, STARTED, None))
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.label)
         with intermediates(spark):
             result = incremental_load(
                 read(spec), target(spec), keys=spec.keys, load_id=number,
                 load_col=spec.load_column, delete_first=spec.delete_last or resumed, land=land(spec), current=current(spec),
+                rejects=rejects, reject_as=spec.target_table,
             )
         status = "loaded" if result.inserted else "empty"
-        counts = (result.retrieved, result.inserted, result.columns)
+        counts = (result.retrieved, result.inserted, result.rejected, result.columns)
         error = None
     except Exception as failure:
         log.exception("feed %s failed", spec.label)
-        status, counts, error = "failed", (None, None, None), f"{type(failure).__name__}: {failure}"
+        status, counts, error = "failed", (None, None, None, None), f"{type(failure).__name__}: {failure}"
     outcome = (*spec_columns(spec), number, *counts, status, error)
     if journal:
         journal.record(spark, spec, outcome)
@@ -120,6 +122,7 @@ def run_feeds(
     land: Callable[[FeedSpec], bool] = lambda spec: True,
     current: Callable[[FeedSpec], CurrentVersions | None] = lambda spec: None,
     journal: RunJournal | None = None,
+    rejects: Target | None = None,
     max_concurrent: int = MAX_CONCURRENT,
 ) -> DataFrame:
     """Load every feed and return the audit, one row per feed.
@@ -129,7 +132,8 @@ def run_feeds(
     run one after the other, as each must see what the one before appended; different targets are
     submitted from a few driver threads, and Spark's fair scheduler shares the executors among them.
 
-    `current` gives the current versions of a feed's target, if they are kept. With a `journal`, a run that was
+    Rows that a feed marks as unreadable go to `rejects` and are counted in the audit; several targets may share the table
+    if it is one with lists of committed loads or partitioned by load id. `current` gives the current versions of a feed's target, if they are kept. With a `journal`, a run that was
     cut short is finished by calling this again: feeds it has as finished are not run again, and the others go on
     under the load ids they began with, after what these left behind is deleted.
     """
@@ -139,7 +143,7 @@ def run_feeds(
 
     @inheritable_thread_target(spark)
     def run_target(feeds: list[FeedSpec]) -> list[tuple]:
-        return [_run_one(spark, spec, read, target, load_id, land, current, journal) for spec in feeds]
+        return [_run_one(spark, spec, read, target, load_id, land, current, journal, rejects) for spec in feeds]
 
     with ThreadPoolExecutor(max_workers=max_concurrent) as pool:
         outcomes = [row for rows in pool.map(run_target, by_target.values()) for row in rows]

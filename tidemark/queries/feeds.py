@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import pad_left
+from tidemark.operators.projection import stamp_load_id
 from tidemark.plans.feeds import (
     attribute_type_feed,
     blocks_feed,
@@ -13,12 +14,15 @@ from tidemark.plans.feeds import (
     inspections_feed,
     key_lookup_feed,
     key_value_feed,
+    key_value_registry,
     residents_feed,
     schemes_feed,
     units_feed,
 )
 from tidemark.plans.feeds.communications import current_parties
 from tidemark.plans.feeds.residents import residents_bad_dates
+from tidemark.plans.rejects import REJECT_SCHEMA, REJECTS
+from tidemark.plans.run import run_feeds
 from tidemark.queries.frames import (
     AS_OF,
     SQL_AS_OF,
@@ -29,6 +33,9 @@ from tidemark.queries.frames import (
     survey_union,
 )
 from tidemark.queries.registry import query, table
+from tidemark.sinks import CommittedTarget
+from tidemark.specs import FeedSpec
+from tidemark.workspace import new_path
 
 CREATOR = "Survey Integration"
 
@@ -93,6 +100,19 @@ def q_feed_key_value_natural(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(_sql_key_value(
+    "row_number() OVER (ORDER BY UPRN IS NULL OR UPRN > 'Customer#000000400', UPRN NULLS FIRST, SurveyAttributeID NULLS FIRST, "
+    "ComponentID NULLS FIRST, AssetID NULLS FIRST, RepairElement NULLS FIRST, Component NULLS FIRST)"
+))
+def q_feed_key_value_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys from a registry that a first run over some of the assets has begun."""
+    asset, findings = _survey(spark, sf_dir)
+    registry = key_value_registry(new_path(spark, "keys"), asset, findings)
+    run = lambda of: key_value_feed(of, findings, as_of=AS_OF, creator=CREATOR, excluded=EXCLUDED, registry=registry)
+    run(asset.where("UPRN <= 'Customer#000000400'"))
+    return run(asset)
+
+
 @query(f"""WITH {SQL_SURVEY_CTES}
 SELECT DISTINCT 'TP_' || RepairElementID::VARCHAR AS PROP_ATTRIBUTE_TYPE_ID, RepairElement AS TYPE_NAME,
        {_sql_hash("RepairElementID", "RepairElement")} AS HASH_VALUE, 'COMPONENTS' AS TYPE_CATEGORY,
@@ -115,6 +135,34 @@ def q_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residents_bad_dates(residents_view(spark, sf_dir))
 
 
+@query("""
+SELECT 7::BIGINT AS B_LOADID, 'SA_RESIDENTS' AS TARGET_TABLE, o_orderkey::VARCHAR AS ROW_KEY, 'START_OF_TERM' AS COLUMN_NAME,
+       'from ' || o_orderstatus AS TEXT, 'not a date' AS REASON
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '3-MEDIUM'""")
+def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reject table after a load of the residents."""
+    return _residents_run(spark, sf_dir)[1].read(spark)
+
+
+@query("""
+SELECT 'SA_RESIDENTS' AS target_table, count(*) AS retrieved, count(*) FILTER (WHERE o_orderpriority <> '3-MEDIUM') AS inserted,
+       count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM') AS rejected, 'loaded' AS status
+FROM orders JOIN customer ON o_custkey = c_custkey""")
+def q_load_audit_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of that load."""
+    return _residents_run(spark, sf_dir)[0].select("target_table", "retrieved", "inserted", "rejected", "status")
+
+
+def _residents_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, CommittedTarget]:
+    feed = residents_feed(residents_view(spark, sf_dir), rejects=True)
+    target = CommittedTarget(new_path(spark, "residents"), stamp_load_id(feed.drop(REJECTS), 0).schema)
+    rejects = CommittedTarget(new_path(spark, "rejects"), REJECT_SCHEMA)
+    audit = run_feeds(
+        spark, [FeedSpec("SA_RESIDENTS", "first", 1, "RESIDENTS_ID")], read=lambda spec: feed, target=lambda spec: target,
+        load_id=lambda spec: 7, rejects=rejects)
+    return audit, rejects
+
+
 # --- units: one per order line, in the building of its supplier ----------------------------------
 
 @query(f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from tidemark.queries.frames import (
     order_opening,
 )
 from tidemark.queries.registry import query, table
-from tidemark.sinks import CommittedTarget, delete_load
+from tidemark.sinks import CommittedTarget, TableTarget, append_by_name, delete_load
 from tidemark.specs import feed_counts, select_feeds
 from tidemark.workspace import new_path
 
@@ -64,6 +66,16 @@ def q_latest_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(order_history(spark, sf_dir), "ORDERS_ID").select("ORDERS_ID", "B_LOADID", "HASH_VALUE")
 
 
+@query(f"WITH history AS ({SQL_ORDER_HISTORY}) {SQL_LATEST}")
+def q_latest_hashes_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table laid out by the key, whose rows are not moved."""
+    history = order_history(spark, sf_dir).select("ORDERS_ID", "B_LOADID", "HASH_VALUE")
+    target = TableTarget(f"orders_{uuid.uuid4().hex}", history.schema, bucket_by=("ORDERS_ID",), buckets=16)
+    target.create(spark)
+    append_by_name(history, target)
+    return latest_per_key(target.read(spark), "ORDERS_ID", co_located=True)
+
+
 SQL_THREE_LOADS = f"""{SQL_BATCH_AND_LATEST},
 all_rows AS (
   SELECT ORDERS_ID, B_LOADID, HASH_VALUE FROM history

@@ -42,11 +42,17 @@ def _in_table_order(schema: T.StructType, partition_by: tuple[str, ...]) -> T.St
 
 @dataclass(frozen=True)
 class TableTarget:
-    """A parquet table of the session's catalogue. `schema` is needed only to create it."""
+    """A parquet table of the session's catalogue. `schema` is needed only to create it.
+
+    `bucket_by` and `buckets` lay the rows out by their key, so that a load finds the latest version of every key without
+    moving the table's rows. A bucket is read by one task, so there should be many more than a key's share of the rows.
+    """
 
     name: str
     schema: T.StructType | None = None
     partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
 
     def create(self, spark: SparkSession) -> None:
         if self.schema is None:
@@ -54,6 +60,9 @@ class TableTarget:
         columns = ", ".join(f"`{f.name}` {declared_type(f)}" for f in self.schema.fields)
         partitions = ", ".join(f"`{c}`" for c in self.partition_by)
         clause = f" PARTITIONED BY ({partitions})" if partitions else ""
+        if self.bucket_by:
+            names = ", ".join(f"`{c}`" for c in self.bucket_by)
+            clause += f" CLUSTERED BY ({names}) INTO {int(self.buckets)} BUCKETS"
         spark.sql(f"CREATE TABLE {_quoted(self.name)} ({columns}) USING parquet{clause}")
 
     def exists(self, spark: SparkSession) -> bool:
@@ -89,6 +98,10 @@ class TableTarget:
     def partitioned_by(self, spark: SparkSession) -> tuple[str, ...]:
         return tuple(c.name for c in spark.catalog.listColumns(self.name) if c.isPartition)
 
+    def bucketed_by(self, spark: SparkSession) -> tuple[str, ...]:
+        """The columns by whose hash the stored table is laid out."""
+        return tuple(c.name for c in spark.catalog.listColumns(self.name) if c.isBucket)
+
 
 @dataclass(frozen=True)
 class PathTarget:
