@@ -17,7 +17,8 @@ decide how well the work is divided and not what is found.
 
 Defined results: rows whose label or vector is NULL, whose vector is empty, zero, or holds NULL or non-finite components
 link with nothing and are components of their own. Vectors of different lengths link with nothing. Repeated rows are
-vectors of their own that link with each other.
+vectors of their own that link with each other, and so are different rows with one vec_id: a node is a label and a vector,
+never a vec_id. An empty table gives no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -67,17 +68,21 @@ class Rotation:
 
 
 def nodes(vectors: DataFrame) -> DataFrame:
-    """One row per label and distinct comparable vector: its smallest vec_id and its count."""
+    """One row per label and distinct comparable vector: a number of its own, its smallest vec_id and its count.
+
+    The numbers are unique, but hold only within one written table.
+    """
     rows = vectors.where(F.col("label").isNotNull() & comparable(F.col("embedding")))
-    return rows.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+    found = rows.groupBy("label", "embedding").agg(F.min("vec_id").alias("smallest"), F.count("*").alias("copies"))
+    return found.withColumn("node", F.monotonically_increasing_id())
 
 
 def pivots(found: DataFrame, n: int) -> dict[int, list[list[float]]]:
     """A sample of at most `MOST_PIVOTS` vectors, by vector size."""
     most = min(MOST_PIVOTS, max(16, math.isqrt(4 * n)))
-    sample = bounded_sample(found.select("node", "embedding"), F.xxhash64("node"), most)
+    sample = bounded_sample(found.select("label", "embedding"), F.xxhash64("label", "embedding"), most)
     out: dict[int, list[list[float]]] = {}
-    for row in sorted(sample.collect(), key=lambda row: row["node"]):
+    for row in sorted(sample.collect(), key=lambda row: (str(row["label"]), row["embedding"])):
         out.setdefault(len(row["embedding"]), []).append(row["embedding"])
     return out
 
@@ -193,10 +198,14 @@ def link(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     compared = materialise(compared, "links")
     n = compared.where(F.col("node").isNotNull()).groupBy("node").agg(F.sum("links").alias("links"))
     components = connected_components(compared.where(F.col("a").isNotNull()).select("a", "b"))
-    answers = found.join(n, "node", "left").join(components, F.col("node") == F.col("id"), "left").select(
+    components = components.select(F.col("id").alias("node"), "component")
+    members = materialise(found.select("node", "smallest").join(components, "node"), "members")
+    least = members.groupBy("component").agg(F.min("smallest").alias("least"))
+    named = members.join(least, "component").select("node", "least")
+    answers = found.join(n, "node", "left").join(named, "node", "left").select(
         F.col("label").alias("n_label"), F.col("embedding").alias("n_embedding"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"))
+        F.coalesce("least", "smallest").alias("component_id"))
     same = (F.col("label") == F.col("n_label")) & (F.col("embedding") == F.col("n_embedding"))
     out = rows.join(answers, same, "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
