@@ -107,7 +107,7 @@ def _fit_shard(rows: pd.DataFrame) -> pd.DataFrame:
             model.learn(np.asarray(at), np.asarray(value), label)
     every = np.arange(len(model.z))
     w = model.weights(every)
-    kept = np.flatnonzero(w)
+    kept = np.union1d(np.flatnonzero(w), every[-1:])  # the bias always, which tells that there was a shard
     return pd.DataFrame({"number": kept, "weight": w[kept]})
 
 
@@ -140,9 +140,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, co
     examples = examples.mapInArrow(
         _featurise, "shard int, place long, label double, number array<int>, value array<float>")
     fitted = examples.groupBy("shard").applyInPandas(_fit_shard, "number long, weight double")
-    found = fitted.groupBy("number").agg((F.sum("weight") / F.lit(SHARDS)).alias("weight")).toPandas()
+    found = fitted.groupBy("number").agg(F.sum("weight").alias("weight"), F.count("*").alias("shards")).toPandas()
     weights = np.zeros((1 << BITS) + 1, np.float32)
-    weights[found["number"].to_numpy()] = found["weight"].to_numpy()
+    # A shard without rows has no model and takes no part in the mean.
+    weights[found["number"].to_numpy()] = found["weight"].to_numpy() / max(1, found["shards"].max() if len(found) else 1)
     return weights
 
 
