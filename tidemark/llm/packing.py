@@ -33,8 +33,9 @@ OPEN_BINS = 1024
 WINDOW_PIECES = 8192
 CACHE_UNITS = 250_000
 # A plain word and the marks after it are units of their own, which makes far fewer units. Everything else goes as a whole
-# from blank to blank; white space beyond ASCII stays inside a unit, where the vocabulary's own pattern sees it.
-UNIT = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[ \n.,])|[^ \t\n\r\x0b\x0c]+")
+# from blank to blank; white space beyond ASCII stays inside a unit, where the vocabulary's own pattern sees it. İ is no plain
+# letter here: its lower case ends in a combining mark, which the vocabulary takes together with a full stop or comma after it.
+UNIT = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+(?=[ \n.,])|[^ \t\n\r\x0b\x0c]+")
 SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
