@@ -273,7 +273,7 @@ def test_page_blocks_and_their_words():
     assert texts("<p>one <svg width='1'/> two</p><p>three</p>") == ["one two", "three"]
     assert texts("<p>one <svg><path d='M1'/>no</svg>two</p>") == ["one two"]
     assert texts("<p>as <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>TeX</annotation></math> is</p><math/><p>on</p>") == ["as x=2 is", "on"]
-    page = lambda text: html.Featuriser().page([(text, ("p",), 0)])
+    page = lambda text: html.Featuriser().page([(text, html.ROOT.then("p"), 0)])
     assert (page("cookie") != page("cinema")).any() and (page("Cookie,")[0, :-4] == page("cookie")[0, :-4]).all()
 
 

@@ -9,9 +9,13 @@ that is main text, save for what lies in elements or classes that stand for some
 few links are. Each sample page is also varied: article elements are replaced by plain containers, and notices, comments,
 forms, adverts and the like, with words of the page, are put between, so that the labeller does not depend on one layout.
 
-Defined results: NULL and empty pages, and pages without main text, give the empty text. Unclosed elements end with the
-page or with the element around them; an unclosed comment, script or style hides the rest. Repeated rows are extracted
-once each; rows without a key like others; further columns are ignored.
+Tags are read by the states of the HTML standard: a quoted value may hold `<` and `>`, an unquoted one quotes, and what
+is no attribute is still part of the tag.
+
+Defined results: NULL and empty pages, and pages without main text, give the empty text; no pages give no rows. Unclosed
+elements end with the page or with the element around them; an unclosed tag, comment, script or style hides the rest.
+Repeated rows are extracted once each; rows without a key like others; further columns are ignored. Very long and very
+deep pages take time and memory in proportion to their length.
 """
 
 from __future__ import annotations
@@ -36,16 +40,25 @@ EPOCHS = 12
 
 HIDDEN_ELEMENTS = "script|style|noscript|template|svg|iframe|object|select|textarea|title|annotation-xml|annotation|canvas|audio|video"
 FOREIGN = "svg|annotation-xml|annotation"  # of those, what "/>" closes
+BLANK = r"[ \t\n\f\r]"
+VALUE = r"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^ \t\n\f\r>\"'][^ \t\n\f\r>]*+"
+NAMED = rf"(?:=[^ \t\n\f\r/>=]*+|[^ \t\n\f\r/>=]++)(?:{BLANK}*+={BLANK}*+(?:{VALUE})?+)?+"
+# Each step takes all it can and none is tried twice, so that a tag is read in one pass whatever it holds.
+ATTRIBUTES = rf"(?:[ \t\n\f\r/]++|{NAMED})*+"
+AFTER_NAME = r"(?=[ \t\n\f\r/>])"
 MARKUP = re.compile(
-    rf"<!--(?:.*?-->|.*\Z)|<(?:{FOREIGN})\b(?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+(?<=/)>|<({HIDDEN_ELEMENTS})\b(?:[^<>\"']+|\"[^\"]*\"|'[^']*')*+>(?:.*?</\1\s*>|.*\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^<>\"']+|\"[^\"<]*\"|'[^'<]*')*+)>|<[!?][^>]*>", re.S | re.I)
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    rf"|<(?:{FOREIGN}){AFTER_NAME}{ATTRIBUTES}(?<=/)>"
+    rf"|<({HIDDEN_ELEMENTS}){AFTER_NAME}{ATTRIBUTES}>(?:.*?</\1{AFTER_NAME}{ATTRIBUTES}(?:>|\Z)|.*\Z)"
+    rf"|<(/?)([a-z][^ \t\n\f\r/>]*+)({ATTRIBUTES})(?:>|\Z)"
+    r"|<(?:[!?]|/(?![a-z]|\Z))[^>]*+(?:>|\Z)", re.S | re.I | re.A)
+ATTRIBUTE = re.compile(rf"({NAMED})|[ \t\n\f\r/]++", re.S | re.A)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong "
     "sub sup time tt u var wbr label "
     "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover "
     "munderover mmultiscripts mprescripts mtable mtr mtd maction semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 MARKS = ".,:;!?()[]{}\"'«»“”‘’…"
 NAME = re.compile(r"[a-z]+")
 MAIN = frozenset({"article", "main"})
@@ -57,9 +70,63 @@ OTHER = frozenset(
 CLOSED_BY = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 
 
-def blocks(html: str) -> list[tuple[str, tuple[str, ...], int]]:
+class Path:
+    """A path of elements and their class words, each part with a link to the one before.
+
+    `mask` has the bits of the path's hashed parts and `marks` says whether the path lies in main text, apart from it, or
+    in a header, so that neither asks for a walk up the path.
+    """
+
+    __slots__ = ("above", "part", "mask", "marks")
+
+    def __init__(self, above: Path | None, part: str):
+        mask, marks = PARTS[part]
+        self.above, self.part = above, part
+        self.mask, self.marks = (mask, marks) if above is None else (mask | above.mask, marks | above.marks)
+
+    def then(self, *parts: str) -> Path:
+        path = self
+        for part in parts:
+            path = Path(path, part)
+        return path
+
+
+WITHIN, APART, HEADER = 1, 2, 4
+
+
+class PartNumbers(dict):
+    """Bits and marks of a path's parts, remembered up to a bound."""
+
+    def __missing__(self, part: str) -> tuple[int, int]:
+        if len(self) > 200_000:
+            self.clear()
+        name = part.lstrip(".")
+        h = zlib.crc32(name.encode())
+        mask = 1 << h % PATH_SIZE | 1 << (h >> 16) % PATH_SIZE if part else 0
+        value = self[part] = mask, WITHIN * (name in MAIN) | APART * (name in OTHER) | HEADER * (name == "header")
+        return value
+
+
+PARTS = PartNumbers()
+ROOT = Path(None, "")
+BODY = ROOT.then("html", "body")
+HEADINGS = ("h1", "h2", "h3")
+
+
+def class_words(attributes: str) -> list[str]:
+    """The words in a tag's class, id and role."""
+    out = []
+    for m in ATTRIBUTE.finditer(attributes):
+        name, _, value = (m[1] or "").partition("=")
+        if value and name.rstrip().lower() in ("class", "id", "role"):
+            out += NAME.findall(value.lower())
+    return out
+
+
+def blocks(html: str) -> list[tuple[str, Path, int]]:
     """Text, path and number of characters within links of the page's leaf blocks. A path's last part is its element."""
     out, pieces, stack, at = [], [], [], 0
+    opened: dict[str, int] = {}
     linked = in_link = 0
 
     def close():
@@ -67,7 +134,7 @@ def blocks(html: str) -> list[tuple[str, tuple[str, ...], int]]:
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
-                out.append((text, tuple(stack[-1][1]) if stack else (), linked))
+                out.append((text, stack[-1][1] if stack else ROOT, linked))
             pieces.clear()
         linked = 0
 
@@ -88,36 +155,35 @@ def blocks(html: str) -> list[tuple[str, tuple[str, ...], int]]:
             continue
         close()
         if m[2]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
+            while opened.get(tag):
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == tag:
                     break
             in_link = 0
         elif tag not in VOID:
             if tag in CLOSED_BY and stack and stack[-1][0] == tag or stack and stack[-1][0] == "p":
-                stack.pop()
-            words = [w for a in ATTRIBUTE.findall(m[4]) for w in NAME.findall("".join(a).lower())] if "=" in m[4] else []
-            path = stack[-1][1] if stack else ()
-            stack.append((tag, (*path, tag, *("." + w for w in words))))
+                opened[stack.pop()[0]] -= 1
+            path = (stack[-1][1] if stack else ROOT).then(tag, *("." + w for w in (class_words(m[4]) if "=" in m[4] else ())))
+            stack.append((tag, path))
+            opened[tag] = opened.get(tag, 0) + 1
     if at < len(html):
         pieces.append(html[at:])
     close()
     return out
 
 
-def guess(found: list[tuple[str, tuple[str, ...], int]]) -> list[bool]:
+def guess(found: list[tuple[str, Path, int]]) -> list[bool]:
     """What the labeller learns from: whether each block is main text, by what its page says of itself."""
-    names_article = any(p in MAIN or p in (".article", ".main") for _, path, _ in found for p in path)
+    names_article = any(path.marks & WITHIN for _, path, _ in found)
     out = []
     for text, path, linked in found:
-        parts = {p.lstrip(".") for p in path}
-        inside = bool(parts & {"article", "main"})
-        apart = bool(parts & OTHER) or ("header" in parts and not inside)
+        inside = bool(path.marks & WITHIN)
+        apart = bool(path.marks & APART) or (bool(path.marks & HEADER) and not inside)
         if names_article:
             out.append(inside and not apart)
         else:
-            heading = path[-1:] in (("h1",), ("h2",), ("h3",))
-            out.append(not apart and linked * 2 < len(text) and (heading or len(text) > 60))
+            out.append(not apart and linked * 2 < len(text) and (path.part in HEADINGS or len(text) > 60))
     return out
 
 
@@ -136,22 +202,19 @@ class Featuriser:
     """Vectors of blocks. Path vectors are remembered up to a bound."""
 
     def __init__(self):
-        self.paths: dict[tuple[str, ...], np.ndarray] = {}
+        self.paths: dict[int, np.ndarray] = {}
         self.words = WordNumbers()
 
-    def path(self, path: tuple[str, ...]) -> np.ndarray:
-        found = self.paths.get(path)
+    def path(self, path: Path) -> np.ndarray:
+        found = self.paths.get(path.mask)
         if found is None:
             if len(self.paths) > 50_000:
                 self.paths.clear()
-            found = np.zeros(PATH_SIZE, np.float32)
-            for part in path:
-                h = zlib.crc32(part.lstrip(".").encode())
-                found[h % PATH_SIZE] = found[(h >> 16) % PATH_SIZE] = 1.0
-            self.paths[path] = found
+            bits = np.frombuffer(path.mask.to_bytes(PATH_SIZE // 8, "little"), np.uint8)
+            found = self.paths[path.mask] = np.unpackbits(bits, bitorder="little").astype(np.float32)
         return found
 
-    def page(self, found: list[tuple[str, tuple[str, ...], int]]) -> np.ndarray:
+    def page(self, found: list[tuple[str, Path, int]]) -> np.ndarray:
         x = np.zeros((len(found), SIZE), np.float32)
         for i, (text, path, linked) in enumerate(found):
             x[i, :PATH_SIZE] = self.path(path)
@@ -162,7 +225,19 @@ class Featuriser:
         return x
 
 
-def varied(found: list[tuple[str, tuple[str, ...], int]], draw: np.random.Generator) -> tuple[list, list[bool]]:
+def plainer(path: Path, to: tuple[str, ...], known: dict[int, Path]) -> Path:
+    """The path with `to` in place of its article elements; `known` holds what was made for the page so far."""
+    todo = []
+    while path.above is not None and id(path) not in known:
+        todo.append(path)
+        path = path.above
+    new = known.get(id(path), ROOT)
+    for path in reversed(todo):
+        new = known[id(path)] = new.then(*(to if path.part in MAIN else (path.part,)))
+    return new
+
+
+def varied(found: list[tuple[str, Path, int]], draw: np.random.Generator) -> tuple[list, list[bool]]:
     """A page in another layout, with its labels."""
     labels = guess(found)
     plain = draw.random() < 0.5
@@ -173,34 +248,31 @@ def varied(found: list[tuple[str, tuple[str, ...], int]], draw: np.random.Genera
         n, start = int(draw.integers(1, most)), int(draw.integers(0, len(words)))
         return " ".join((words[start:] + words)[:n])
 
-    out, kept = [], []
+    out, kept, known = [], [], {}
     for (text, path, linked), label in zip(found, labels):
         if plain:
-            new = []
-            for p in path:
-                new += to if p in MAIN else [p]
-            path = tuple(new)
+            path = plainer(path, to, known)
         if label and draw.random() < 0.1:
-            path = (*path[:-1], *[("ul", "li"), ("ol", "li"), ("blockquote", "p"), ("h2",), ("h3",), ("pre",), ("table", "tr", "td"),
+            path = (path.above or ROOT).then(*[("ul", "li"), ("ol", "li"), ("blockquote", "p"), ("h2",), ("h3",), ("pre",), ("table", "tr", "td"),
                                  ("figure", "figcaption")][draw.integers(8)])
         out.append((text, path, linked))
         kept.append(label)
     names = sorted(OTHER)
     for _ in range(int(draw.integers(0, 7))):
         spot = int(draw.integers(0, len(out) + 1))
-        around = out[spot - 1][1][:-1] if spot else ("html", "body")
+        around = (out[spot - 1][1].above or ROOT) if spot else BODY
         name = names[draw.integers(len(names))]
         tag = name if name in ("nav", "footer", "aside", "form", "button", "dialog", "menu") else "div"
         within = [("p",), (), ("ul", "li"), ("div",), ("h3",), ("article", "p") if name.startswith("comment") else ("p",)][draw.integers(6)]
         for _ in range(int(draw.integers(1, 4))):
             text = some(40)
             part = (tag,) if tag == name else (tag, "." + name)
-            out.insert(spot, (text, (*around, *part, *within), len(text) if draw.random() < 0.4 else 0))
+            out.insert(spot, (text, around.then(*part, *within), len(text) if draw.random() < 0.4 else 0))
             kept.insert(spot, False)
     if draw.random() < 0.5:
         for _ in range(int(draw.integers(1, 4))):
             text = some(8)
-            out.insert(0, (text, ("html", "body", "header", *[("h1",), ("p",), ("div",), ()][draw.integers(4)]), 0))
+            out.insert(0, (text, BODY.then("header", *[("h1",), ("p",), ("div",), ()][draw.integers(4)]), 0))
             kept.insert(0, False)
     return out, kept
 
