@@ -9,6 +9,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tidemark.functions.hashing import zone_free
+from tidemark.operators.projection import stamp_load_id
 from tidemark.plans.feeds import (
     attribute_type_feed,
     blocks_feed,
@@ -25,6 +27,8 @@ from tidemark.plans.feeds import (
 from tidemark.plans.feeds.communications import current_parties
 from tidemark.plans.feeds.inspections import inspections_bad_dates, HASHED
 from tidemark.plans.feeds.residents import COLUMNS, DATES, residents_bad_dates
+from tidemark.plans.load import incremental_load
+from tidemark.sinks import PathTarget
 
 NOW = dt.datetime(2019, 3, 15, 14, 5, 6)
 STAMP = {"as_of": NOW, "creator": "tests"}
@@ -228,3 +232,30 @@ def test_communications(spark):
     }
     assert feed[2]["HASH_VALUE"] == hashlib.sha1(b"a@b00211ZCM-UE12").hexdigest()
     assert feed[1]["B_CREDATE"] == "2019-03-15 02:05:06" and feed[1]["OTHER_INFO"] is None
+
+
+def test_a_session_in_another_zone_finds_nothing_new(spark, survey, tmp_path):
+    """Views of instants, as files hold them: hashes, numbers and dates are those of the first session."""
+    asset, findings = survey
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    path, target = str(tmp_path / "findings"), None
+    found = []
+    try:
+        for n, name in enumerate(("UTC", "Pacific/Auckland", "America/New_York"), start=1):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            if n == 1:
+                findings.withColumn("InstallationDate", F.col("InstallationDate").cast("timestamp")).write.parquet(path)
+            instants = spark.read.parquet(path)
+            assert instants.schema["InstallationDate"].dataType.simpleString() == "timestamp"
+            feed = key_value_feed(asset, instants, as_of=NOW, creator="tests", numbered=False)
+            target = target or PathTarget(str(tmp_path / "target"), stamp_load_id(feed, 1).schema)
+            found.append(incremental_load(feed, target, keys="PROP_ATTRIBUTE_KEY_VALUE_", load_id=n).inserted)
+            assert {r["ATTRIBUTE_DATE"] for r in feed.collect()} == {dt.datetime(2012, 1, 1), None}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == [2, 0, 0]
+
+
+def test_frames_without_instants_are_left_as_they_are(spark):
+    df = spark.range(2)
+    assert zone_free(df) is df

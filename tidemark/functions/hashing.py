@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +27,8 @@ def zone_free(df: DataFrame) -> DataFrame:
     An instant turned into text reads differently in every session time zone, and so would its hash. Apply
     this to a frame with such columns before hashing. JDBC sources read zone-less times to begin with.
     """
+    if not any(isinstance(f.dataType, T.TimestampType) for f in df.schema.fields):
+        return df
     utc = lambda c: F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + unix_micros(`{c}`) * INTERVAL '0.000001' SECOND")
     return df.select(*[
         utc(f.name).alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`")
@@ -31,12 +36,27 @@ def zone_free(df: DataFrame) -> DataFrame:
     ])
 
 
+def zone_free_views(feed: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Makes a feed read all frames it is given through `zone_free`.
+
+    A feed's hashes are then the same in every session time zone, also where its views are files with instants; else a
+    load from a session in another zone would find every row changed.
+    """
+
+    @wraps(feed)
+    def read(*args, **kwargs):
+        free = lambda value: zone_free(value) if isinstance(value, DataFrame) else value
+        return feed(*map(free, args), **{name: free(value) for name, value in kwargs.items()})
+
+    return read
+
+
 def row_hash(*cols: str | Column, algo: str = "sha256") -> Column:
     """Hash of the values of `cols` in order: hex text, or a bigint for `algo="xxhash64"`.
 
     `xxhash64` is the cheapest, but at billions of rows 64 bits do collide, and a collision hides a
     change. The digests are the safe choice. Columns of instants make the hash depend on the session's
-    time zone; pass them through `zone_free` first.
+    time zone; pass them through `zone_free` first, as every feed does (see `zone_free_views`).
     """
     columns = [_as_column(c) for c in cols]
     if algo == "xxhash64":

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import Instant, as_timestamp, format_twelve_hour
 from tidemark.functions.decoding import decode, decode_rank
-from tidemark.functions.hashing import sha1_null_skipped
+from tidemark.functions.hashing import sha1_null_skipped, zone_free_views
 from tidemark.operators.membership import rows_in
 from tidemark.operators.projection import active_at
 
@@ -50,6 +50,7 @@ def current_parties(
     return parties.distinct()
 
 
+@zone_free_views
 def communications_feed(
     contact_details: DataFrame, parties: DataFrame, current: DataFrame, *, as_of: Instant, creator: str
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import blank_to_null, equals_padded, isnull_default, rtrim_text
 from tidemark.functions.dates import Instant, as_timestamp, text_or_default_date, text_to_date, unparsed
-from tidemark.functions.hashing import row_hash
+from tidemark.functions.hashing import row_hash, zone_free_views
 from tidemark.operators.numbering import global_row_number
 from tidemark.plans.rejects import reject_marks
 
@@ -66,6 +66,7 @@ def _checked(c: str) -> tuple[Column, Column]:
     return F.when(F.rtrim(c) != "", F.col(c)), text_to_date(F.col(c))
 
 
+@zone_free_views
 def inspections_feed(view: DataFrame, *, as_of: Instant, creator: str, rejects: bool = False) -> DataFrame:
     """The view's texts trimmed, blanks and NULL as '' or 1900-01-01, dates parsed, rows numbered by property reference.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import isnull_default
 from tidemark.functions.decoding import decode, decode_like
-from tidemark.functions.hashing import row_hash, sha1_null_marked
+from tidemark.functions.hashing import row_hash, sha1_null_marked, zone_free_views
 
 # Occupancy and floor codes, and the constants of the staging tables.
 OCCUPANCY_CODES = {"Available": "022", "Booked": "022", "Occupied": "004", "On Hold": "024"}
@@ -25,6 +25,7 @@ def _owner():
     return F.lit(SOURCE_SYSTEM).alias("F_SOURCE_SYSTEM"), F.lit(DATA_OWNERSHIP).alias("F_DATA_OWNERSHIP")
 
 
+@zone_free_views
 def units_feed(property_index: DataFrame, building: DataFrame, area: DataFrame) -> DataFrame:
     """Units of buildings that lie in a known area, with occupancy and floor decoded.
 
@@ -60,6 +61,7 @@ def units_feed(property_index: DataFrame, building: DataFrame, area: DataFrame)
     )
 
 
+@zone_free_views
 def blocks_feed(building: DataFrame, area: DataFrame, address: DataFrame) -> DataFrame:
     """Buildings of known areas, with their address where they have one."""
     b, a, d = building.alias("b"), area.alias("a"), address.alias("d")
@@ -81,6 +83,7 @@ def blocks_feed(building: DataFrame, area: DataFrame, address: DataFrame) -> Dat
     )
 
 
+@zone_free_views
 def schemes_feed(area: DataFrame, *, estate: str) -> DataFrame:
     """Areas as schemes, all below one estate."""
     return area.select(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cleaning import concat_key
 from tidemark.functions.dates import Instant, as_timestamp, validity_window
-from tidemark.functions.hashing import row_hash
+from tidemark.functions.hashing import row_hash, zone_free_views
 from tidemark.operators.membership import rows_in
 from tidemark.operators.numbering import global_row_number
 from tidemark.operators.projection import not_in, union_all_padded
@@ -43,6 +43,7 @@ REPAIR_COLUMNS = [
 ]
 
 
+@zone_free_views
 def survey_findings(attributes: DataFrame, repairs: DataFrame) -> DataFrame:
     """Attribute rows and repair rows one below the other, each padded with NULL."""
     return union_all_padded(attributes.select(*ATTRIBUTE_COLUMNS), repairs.select(*REPAIR_COLUMNS))
@@ -69,6 +70,7 @@ def _validity(as_of: Column) -> list[Column]:
     return [start.alias("VALID_FROM"), end.alias("VALID_TO")]
 
 
+@zone_free_views
 def key_lookup_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant, creator: str) -> DataFrame:
     """The distinct components."""
     as_of = as_timestamp(as_of)
@@ -86,6 +88,7 @@ def key_lookup_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant, cr
     )
 
 
+@zone_free_views
 def attribute_type_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant, creator: str) -> DataFrame:
     """The distinct elements that have an id, which repair rows never have."""
     as_of = as_timestamp(as_of)
@@ -106,11 +109,13 @@ def attribute_type_feed(asset: DataFrame, findings: DataFrame, *, as_of: Instant
 NATURAL_KEY = ["ComponentID", "AssetID", "UPRN", "RepairElement", "Component"]
 
 
+@zone_free_views
 def key_value_registry(path: str, asset: DataFrame, findings: DataFrame) -> KeyRegistry:
     """A registry for the feed's natural keys, with the types they have in the views."""
     return KeyRegistry.of(path, asset.select("AssetID", "UPRN").join(findings, "AssetID").select(*NATURAL_KEY))
 
 
+@zone_free_views
 def key_value_feed(
     asset: DataFrame,
     findings: DataFrame,
