@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.feeds.survey import survey_findings
 from tidemark.queries.registry import table
+from tidemark.workspace import folder_bytes
 
 AS_OF = "2001-03-15 14:05:06"
 SQL_AS_OF = f"TIMESTAMP '{AS_OF}'"
@@ -106,18 +107,35 @@ def survey_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("AssetID"), F.col("c_name").alias("UPRN"))
 
 
-def _survey_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .withColumn("line_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-    )
+# So much of the lines' files is joined in one task, whatever the session's number of shuffle partitions.
+LINE_BYTES_PER_TASK = 8 * 1024**2
+# Suppliers in files up to this size are sent to every executor, which spares moving all lines to them.
+SUPPLIER_BYTES = 16 * 1024**2
+
+
+def _survey_lines(spark: SparkSession, sf_dir: str, kept: Column) -> DataFrame:
+    """The lines wanted, with order, supplier and part.
+
+    What the lines are known by is put together as early as it can be, so that the later joins move less. The part comes
+    last: the lines then lie by component, which is what the feeds group by, and are not moved again for that.
+    """
+    tasks = -(-folder_bytes(spark, f"{sf_dir}/lineitem.parquet") // LINE_BYTES_PER_TASK)
+    large = tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda df, key: df.repartition(tasks, key) if large else df
+    lines = dealt(table(spark, sf_dir, "lineitem").where(kept), "l_orderkey")
+    with_orders = lines.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_custkey", "o_orderpriority", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate",
+        F.year("l_shipdate").alias("ship_year"), "l_quantity", "l_extendedprice",
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"))
+    supplier = table(spark, sf_dir, "supplier")
+    if folder_bytes(spark, f"{sf_dir}/supplier.parquet") <= SUPPLIER_BYTES:
+        supplier = F.broadcast(supplier)
+    with_supplier = with_orders.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    return dealt(with_supplier, "l_partkey").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
 
 
 def survey_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _survey_lines(spark, sf_dir).where(F.col("l_returnflag") == "R").select(
+    return _survey_lines(spark, sf_dir, F.col("l_returnflag") == "R").select(
         F.col("o_custkey").alias("AssetID"),
         F.col("l_suppkey").alias("RepairElementID"),
         F.col("s_name").alias("RepairElement"),
@@ -132,7 +150,7 @@ def survey_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def survey_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _survey_lines(spark, sf_dir).where(F.col("l_returnflag") != "R").select(
+    return _survey_lines(spark, sf_dir, F.col("l_returnflag") != "R").select(
         F.col("o_custkey").alias("AssetID"),
         F.col("s_name").alias("RepairElement"),
         F.col("l_partkey").alias("ComponentID"),
@@ -141,7 +159,7 @@ def survey_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("line_id").alias("SurveyRepairID"),
         F.concat("p_type", F.lit(" "), "l_returnflag").alias("RepairDescription"),
         F.col("l_quantity").cast("int").alias("Quantity"),
-        F.year("l_shipdate").alias("YearDue"),
+        F.col("ship_year").alias("YearDue"),
         money("l_extendedprice").alias("RepairCost"),
         F.col("o_orderpriority").alias("Surveyor"),
     )
