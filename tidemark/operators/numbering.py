@@ -31,7 +31,7 @@ def global_row_number(
     globally and written once with their place, and the number is a row's position in its sort partition
     plus the rows of all earlier ones. The write runs when this is called; the rest is lazy, and
     `workspace.intermediates` removes the files after the consumer's own write. The frame's columns are
-    kept in a struct meanwhile, so it may have columns of any name.
+    kept under numbers, then in a struct meanwhile, so it may have columns of any name.
     """
     placed = placed_rows(df, order_by, tie_break=tie_break, distinct_rows=distinct_rows)
     part = F.shiftright("place", _POSITION_BITS)
@@ -61,14 +61,20 @@ def placed_rows(
     the same when a task is run again: it only tells rows apart that are equal in every other column, and Spark runs
     whatever depends on such a column again as a whole.
     """
-    leading = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    named = {c for c in order_by if isinstance(c, str)}
-    ties = list(tie_break) if tie_break is not None else [c for c in df.columns if c not in named]
-    keys = [*leading, *[F.col(f"`{c}`") for c in ties]]
-    copy = F.lit(0).cast("long") if distinct_rows else F.monotonically_increasing_id()
-    rows = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-        *[k.alias(f"key{i}") for i, k in enumerate(keys)], copy.alias("copy"))
-    order = [F.col(f"key{i}").asc_nulls_first() for i in range(len(keys))]
-    ordered = rows.orderBy(*order, F.col("copy").asc()).select("row", F.monotonically_increasing_id().alias("place"))
+    # A key that is a column of the frame is moved and sorted as that column; only computed ones are moved besides.
+    ties = list(tie_break) if tie_break is not None else [c for c in df.columns if c not in {k for k in order_by if isinstance(k, str)}]
+    moved = [F.col(f"`{c}`").alias(f"col{i}") for i, c in enumerate(df.columns)]
+    order: list[Column] = []
+    for key in [*order_by, *ties]:
+        if isinstance(key, str) and key in df.columns:
+            order.append(F.col(f"col{df.columns.index(key)}"))
+        else:
+            name = f"key{len(order)}"
+            moved.append((F.col(key) if isinstance(key, str) else key).alias(name))
+            order.append(F.col(name))
+    if not distinct_rows:
+        moved.append(F.monotonically_increasing_id().alias("copy"))
+        order.append(F.col("copy"))
+    row = F.struct(*[F.col(f"col{i}").alias(c) for i, c in enumerate(df.columns)]).alias("row")
+    ordered = df.select(*moved).orderBy(*[key.asc_nulls_first() for key in order]).select(row, F.monotonically_increasing_id().alias("place"))
     return materialise(ordered, "row-number")
