@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.membership import rows_not_in
 from tidemark.operators.numbering import global_row_number
+from tidemark.operators.screening import MOST_BYTES, bit_sets, mark_perhaps_known, table_bits
 from tidemark.sinks.committed import CommittedTarget
 
 NUMBER = "NUMBER"
@@ -65,6 +66,35 @@ class KeyRegistry:
             self._table.append(added)
         return count
 
+    def assigned(self, rows: DataFrame, out_col: str, order_by: Sequence[str | Column] = ()) -> DataFrame:
+        """`register` and `numbered` at once for rows of which no two have one key.
+
+        Rows that no known key can have are told by bit sets (see `screening`); the others are looked up. All are sorted with those
+        without a number in front, so a new key's number is its row's place, and nothing is moved again to meet it.
+        """
+        spark = rows.sparkSession
+        before = self.read(spark)
+        highest = before.agg(F.max(NUMBER)).first()[0] or 0
+        looked_up = self._looked_up(rows, before)
+        placed = global_row_number(
+            looked_up, [F.col("_number").isNotNull(), *order_by], "_place", tie_break=self.columns, distinct_rows=True)
+        next_number = F.col("_place") + highest
+        added = placed.where(F.col("_number").isNull()).select(*self.columns, next_number.alias(NUMBER))
+        if not added.isEmpty():
+            self._table.append(added)
+        return placed.select(F.coalesce("_number", next_number).alias(out_col), *[F.col(f"`{c}`") for c in rows.columns])
+
+    def _looked_up(self, rows: DataFrame, known: DataFrame) -> DataFrame:
+        bits = table_bits(known.count())
+        # Equal values of different types have different hashes.
+        types = {f.name: f.dataType for f in rows.schema.fields}
+        if bits // 8 > MOST_BYTES or any(types[f.name] != f.dataType for f in self.schema.fields[:-1]):
+            return self.numbered(rows, "_number")
+        marked = mark_perhaps_known(rows, bit_sets(known, self.columns, bits), self.columns, bits)
+        back = lambda part: part.select(*[F.col("row").getField(c).alias(c) for c in rows.columns])
+        new = back(marked.where(~F.col("known"))).select(F.lit(None).cast("long").alias("_number"), "*")
+        return new.unionByName(self.numbered(back(marked.where("known")), "_number"))
+
     def numbered(self, rows: DataFrame, out_col: str) -> DataFrame:
         """`rows` with their keys' numbers in front; a key without a number, as before `register`, gives NULL."""
         known = self.read(rows.sparkSession).toDF(*[f"_known_{i}" for i in range(len(self.columns))], "_number")

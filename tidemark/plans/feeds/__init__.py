@@ -11,6 +11,7 @@ from tidemark.plans.feeds.property import blocks_feed, schemes_feed, units_feed
 from tidemark.plans.feeds.residents import residents_feed
 from tidemark.plans.feeds.survey import (
     attribute_type_feed,
+    finding_maxima,
     key_lookup_feed,
     key_value_feed,
     key_value_registry,
@@ -22,6 +23,7 @@ __all__ = [
     "attribute_type_feed",
     "blocks_feed",
     "communications_feed",
+    "finding_maxima",
     "inspections_feed",
     "key_lookup_feed",
     "key_value_feed",

@@ -18,7 +18,6 @@ from tidemark.operators.membership import rows_in
 from tidemark.operators.numbering import global_row_number
 from tidemark.operators.projection import not_in, union_all_padded
 from tidemark.operators.registry import KeyRegistry
-from tidemark.workspace import materialise
 
 # Fixed values of the three staging tables. The source system is a number in the first, text in the others.
 KEY_LOOKUP = {"B_CLASSNAME": "AttributeKeyLookup", "F_SOURCE_SYSTEM": 41, "F_DATA_OWNERSHIP": 1}
@@ -115,6 +114,25 @@ def key_value_registry(path: str, asset: DataFrame, findings: DataFrame) -> KeyR
     return KeyRegistry.of(path, asset.select("AssetID", "UPRN").join(findings, "AssetID").select(*NATURAL_KEY))
 
 
+GROUP = ["AssetID", "ComponentID", "RepairElement", "Component"]
+
+
+@zone_free_views
+def finding_maxima(findings: DataFrame, excluded: Sequence[str] = EXCLUDED_ELEMENTS) -> DataFrame:
+    """The maxima of the findings of each asset, element and component: what the key-value feed reduces its findings to."""
+    return findings.where(not_in(F.col("RepairElement"), excluded)).groupBy(*GROUP).agg(
+        F.max("RepairElementID").alias("RepairElementID"),
+        F.max("Attribute").alias("Attribute"),
+        F.max("InstallationDate").alias("InstallationDate"),
+        F.max("RepairDescription").alias("Replacement"),
+        F.max("RepairCost").alias("ReplacementCost"),
+        F.max("Quantity").alias("Quantity"),
+        F.max("YearDue").alias("YearDue"),
+        F.max(F.coalesce("SurveyAttributeID", "SurveyRepairID")).alias("SurveyAttributeID"),
+        F.max("Surveyor").alias("Surveyor"),
+    )
+
+
 @zone_free_views
 def key_value_feed(
     asset: DataFrame,
@@ -125,6 +143,7 @@ def key_value_feed(
     excluded: Sequence[str] = EXCLUDED_ELEMENTS,
     numbered: bool = True,
     registry: KeyRegistry | None = None,
+    maxima: DataFrame | None = None,
 ) -> DataFrame:
     """One row per asset, element and component, with the maxima of its attribute and repair rows.
 
@@ -138,28 +157,17 @@ def key_value_feed(
 
     The maxima are taken before the join to the assets, which changes nothing, as a repeated row does
     not change a maximum. An asset with very many findings is thus reduced on the map side and spread
-    by element and component, and the join moves one row per group.
+    by element and component, and the join moves one row per group. Where several runs take the same findings, their
+    `finding_maxima` can be written once and given to each.
     """
     as_of = as_timestamp(as_of)
-    group = ["AssetID", "ComponentID", "RepairElement", "Component"]
-    maxima = findings.where(not_in(F.col("RepairElement"), excluded)).groupBy(*group).agg(
-        F.max("RepairElementID").alias("RepairElementID"),
-        F.max("Attribute").alias("Attribute"),
-        F.max("InstallationDate").alias("InstallationDate"),
-        F.max("RepairDescription").alias("Replacement"),
-        F.max("RepairCost").alias("ReplacementCost"),
-        F.max("Quantity").alias("Quantity"),
-        F.max("YearDue").alias("YearDue"),
-        F.max(F.coalesce("SurveyAttributeID", "SurveyRepairID")).alias("SurveyAttributeID"),
-        F.max("Surveyor").alias("Surveyor"),
-    )
+    if maxima is None:
+        maxima = finding_maxima(findings, excluded)
     groups = asset.select("AssetID", "UPRN").distinct().join(maxima, "AssetID")
     natural = NATURAL_KEY
     key = "PROP_ATTRIBUTE_KEY_VALUE_"
     if registry is not None:
-        groups = materialise(groups, "groups")
-        registry.register(groups, ["UPRN", "SurveyAttributeID"])
-        keyed = registry.numbered(groups, key)
+        keyed = registry.assigned(groups, key, ["UPRN", "SurveyAttributeID"])
     elif numbered:
         keyed = global_row_number(
             groups, ["UPRN", "SurveyAttributeID"], key, tie_break=natural, distinct_rows=True
