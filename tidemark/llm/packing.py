@@ -8,7 +8,7 @@ ones of a window first, so that short ones fill what the long ones leave. Nothin
 again gives the same sequences, since they follow from the rows' order in its split and its number.
 
 The vocabulary's pattern never crosses white space or the border between a plain word and a full stop or comma, so ids
-are looked up by such units and only units not met lately are tokenised. That gives the ids of the whole text.
+are looked up by such units and only units not met lately by the worker process are tokenised. That gives the ids of the whole text.
 
 Defined results: a NULL or empty text is one piece that holds the end id alone. Repeated rows are packed once each. A
 document of exactly the sequence length is one piece. An empty table gives no rows. Further columns are ignored.
@@ -16,10 +16,12 @@ document of exactly the sequence length is one piece. An empty table gives no ro
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -32,10 +34,20 @@ END_ID = 1
 OPEN_BINS = 1024
 WINDOW_PIECES = 8192
 CACHE_UNITS = 250_000
+CACHE_PARTS = 50_000
 # A plain word and the marks after it are units of their own, which makes far fewer units. Everything else goes as a whole
 # from blank to blank; white space beyond ASCII stays inside a unit, where the vocabulary's own pattern sees it. İ is no plain
 # letter here: its lower case ends in a combining mark, which the vocabulary takes together with a full stop or comma after it.
-UNIT = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+(?=[ \n.,])|[^ \t\n\r\x0b\x0c]+")
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
+UNIT = re.compile(PLAIN.pattern + "(?=[ \n.,])|[^ \t\n\r\x0b\x0c]+")
+# What the vocabulary's own pattern finds in a unit of ASCII in lower case, and the rules that make it so.
+PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
@@ -45,10 +57,33 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class UnitIds:
-    """Ids of words as little-endian 32-bit integers. Words not met lately are tokenised together, text by text.
+def _byte_letters() -> dict[int, str]:
+    """For each letter beyond ASCII that a plain word has in lower case, the signs by which a byte-level vocabulary names its bytes."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    sign = [chr(b) if b in own else chr(next(other)) for b in range(256)]
+    letters = {c for c in map(chr, range(0xC0, 0x250)) if PLAIN.fullmatch(c)}
+    return {ord(c): "".join(sign[b] for b in c.encode()) for letter in letters for c in letter.lower()}
 
-    Memory is bounded: when the recent words are many they become the old ones, and the old ones go unless met again.
+
+BYTE_LETTERS = _byte_letters()
+
+
+def _plain_rules(vocabulary: str) -> bool:
+    """Whether the vocabulary normalises and splits as `PART` does, so that its model can be asked for the ids of a plain unit's parts."""
+    with open(vocabulary, encoding="utf-8") as file:
+        rules = json.load(file)
+    added = [token["content"] for token in rules.get("added_tokens") or []]
+    return (rules.get("normalizer"), rules.get("pre_tokenizer")) == (NORMALIZER, PRE_TOKENIZER) and all("<|" in t for t in added)
+
+
+class UnitIds(dict):
+    """Ids of units as little-endian 32-bit integers, by unit. A unit that was not met lately is tokenised when it is looked up.
+
+    The vocabulary's model gives the ids of plain words and of what stands between them in ASCII; the whole tokenizer, whose
+    normalising and splitting takes several times as long, those of all other units.
+
+    Memory is bounded: when the recent units are many they become the old ones, and the old ones go unless met again.
     """
 
     def __init__(self, vocabulary: str):
@@ -56,30 +91,50 @@ class UnitIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.recent: dict[str, bytes] = {}
+        self.model = self.tokenizer.model if _plain_rules(vocabulary) else None
+        self.ids = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.old: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        units = UNIT.findall(text)
-        ids = list(map(self.recent.get, units))
-        if None in ids:
-            self._learn({u for u, i in zip(units, ids) if i is None})
-            ids = map(self.recent.__getitem__, units)
-        encoded = b"".join(ids)
-        if len(self.recent) > CACHE_UNITS:
-            self.recent, self.old = {}, self.recent
+        encoded = b"".join(map(self.__getitem__, UNIT.findall(text)))
+        if len(self) > CACHE_UNITS:
+            self.old = dict(self)
+            self.clear()
         return encoded
 
-    def _learn(self, units: set[str]) -> None:
-        new = []
-        for unit in units:
-            ids = self.old.get(unit)
-            if ids is None:
-                new.append(unit)
-            else:
-                self.recent[unit] = ids
-        for unit, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.recent[unit] = b"".join([i.to_bytes(4, "little") for i in found.ids])
+    def __missing__(self, unit: str) -> bytes:
+        found = self.old.get(unit)
+        if found is None:
+            found = self._tokenised(unit)
+        self[unit] = found
+        return found
+
+    def _tokenised(self, unit: str) -> bytes:
+        if self.model is not None:
+            if unit.isascii():
+                if unit.isalpha():
+                    return self._of_part(unit.lower())
+                if "<|" not in unit and unit.isprintable():
+                    return b"".join([self.parts.get(part) or self._kept_part(part) for part in PART.findall(unit.lower())])
+            elif PLAIN.fullmatch(unit):
+                return self._of_part(unit.lower().translate(BYTE_LETTERS))
+        return b"".join([self.ids[i] for i in self.tokenizer.encode(unit, add_special_tokens=False).ids])
+
+    def _of_part(self, part: str) -> bytes:
+        return b"".join([self.ids[token.id] for token in self.model.tokenize(part)])
+
+    def _kept_part(self, part: str) -> bytes:
+        if len(self.parts) >= CACHE_PARTS:
+            self.parts.clear()
+        found = self.parts[part] = self._of_part(part)
+        return found
+
+
+@cache
+def unit_ids(vocabulary: str) -> UnitIds:
+    """The units of this worker process, which the next task finds as the last one left them."""
+    return UnitIds(vocabulary)
 
 
 class OpenBins:
@@ -137,7 +192,7 @@ def pack(
     end, step = end_id.to_bytes(4, "little"), 4 * sequence_tokens
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, bins = UnitIds(vocabulary), OpenBins(sequence_tokens, open_bins)
+        units, bins = unit_ids(vocabulary), OpenBins(sequence_tokens, open_bins)
         first = TaskContext.get().partitionId() << 40
         window = []
         for batch in slices(batches):
