@@ -1,8 +1,8 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF shingles, banded, verified exactly.
 
 A document is the multiset of its five-word shingles (lower-cased words). A shingle weighs its count times a damped
-inverse document frequency, between 1 and 1 + `RARITY` by the mean over its words; frequencies come from all documents, and
-words beyond the `FREQUENT_WORDS` most frequent share the frequency of the rarest of these. Undamped, the words of a group
+inverse document frequency, between 1 and 1 + `RARITY` by the mean over its words; frequencies come from all documents. Every
+task knows those of the `FREQUENT_WORDS` most frequent words, and a text's other words meet theirs in a join. Undamped, the words of a group
 of copies that makes up much of the corpus would weigh next to nothing against the words in which the copies differ. Improved consistent weighted sampling draws `BANDS * ROWS` shingles
 with probability proportional to weight; documents that agree in all draws of a band meet in a bucket.
 
@@ -21,6 +21,7 @@ stays. Rows without a key belong to classes like others, and NULL sorts last whe
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ def _document_counts(batches):
 
     for batch in slices(batches):
         for text in texts_of(batch):
-            held.append(np.unique(np.fromiter(map(hashes.__getitem__, WORD.findall(text.lower())), np.uint64)))
+            held.append(np.fromiter(set(map(hashes.__getitem__, set(WORD.findall(text.lower())))), np.uint64))
             size += len(held[-1])
         if size > WORDS_AT_ONCE:
             yield counted()
@@ -60,27 +61,68 @@ def _document_counts(batches):
         yield counted()
 
 
-def inverse_frequencies(docs: DataFrame) -> tuple[dict[int, float], float]:
-    """Weights of the most frequent words by hash, and the weight of all other words.
+def _weights(n: np.ndarray, total: int) -> np.ndarray:
+    """What words weigh that `n` of `total` documents hold."""
+    return 1 + RARITY * np.log1p(total / np.maximum(1, n)) / np.log1p(max(1, total))
 
-    At most `FREQUENT_WORDS` numbers come to the driver.
+
+class Frequencies:
+    """Weights of words by hash: of the `frequent` ones, and of a word that one document holds.
+
+    `rare` has text_hash and met, the words of a text that lie between, with the number of documents that hold each;
+    None if there are none.
     """
+
+    def __init__(self, total: int, frequent: dict[int, float], rare: DataFrame | None):
+        self.total, self.frequent, self.rare = total, frequent, rare
+
+    def joined(self, rows: DataFrame) -> DataFrame:
+        """The rows with words and counts: those of the text's rare words."""
+        if self.rare is None:
+            return rows.select("*", F.lit(None).cast("array<long>").alias("words"), F.lit(None).cast("array<long>").alias("counts"))
+        met = self.rare.select(F.col("text_hash").alias("r_hash"), F.col("met.word").alias("words"), F.col("met.n").alias("counts"))
+        return rows.join(met, F.col("text_hash") == F.col("r_hash"), "left").drop("r_hash")
+
+    def shingler(self) -> Callable[[], Shingler]:
+        """What makes a task's shingler; holds no frame, so that it can be sent."""
+        total, frequent = self.total, self.frequent
+        return lambda: Shingler(frequent, float(_weights(np.ones(1), total)[0]), total)
+
+
+def inverse_frequencies(docs: DataFrame) -> Frequencies:
+    """The weights of all words. At most `FREQUENT_WORDS` numbers come to the driver; the others meet their texts by a join."""
     total = docs.count()
     counts = key_and_text(docs).select("text").mapInArrow(_document_counts, "word long, n long")
     counts = materialise(counts.groupBy("word").agg(F.sum("n").alias("n")), "frequencies")
-    frequent = most_frequent(counts, FREQUENT_WORDS)
-    counts = frequent.toPandas()
-    n = counts["n"].to_numpy()
-    weight = 1 + RARITY * np.log1p(total / np.maximum(1, n)) / np.log1p(max(1, total))
-    rest = float(weight.max()) if len(n) else 1 + RARITY
-    return dict(zip(counts["word"].to_numpy().view(np.uint64).tolist(), weight.tolist())), rest
+    frequent = most_frequent(counts, FREQUENT_WORDS).toPandas()
+    n, words = frequent["n"].to_numpy(), frequent["word"].to_numpy().view(np.uint64)
+    known = dict(zip(words.tolist(), _weights(n, total).tolist()))
+    between = counts.where((F.col("n") > 1) & (F.col("n") < F.lit(int(n.min()) if len(n) else total + 1)))
+    if between.isEmpty():
+        return Frequencies(total, known, None)
+
+    def others(batches):
+        hashes = WordHashes()
+        for batch in slices(batches):
+            found = []
+            for text in texts_of(batch):
+                held = set(map(hashes.__getitem__, set(WORD.findall(text.lower()))))
+                found.append(np.fromiter(held.difference(known), np.uint64))
+            text_hash = np.repeat(batch.column("text_hash").to_numpy(), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(text_hash), pa.array(np.concatenate(found).view(np.int64))], names=["text_hash", "word"])
+
+    rows = key_and_text(docs).select("text", F.xxhash64("text").alias("text_hash"))
+    # No word here is hot: those in many documents are known. Dealt by text first, as little would come together before.
+    met = rows.mapInArrow(others, "text_hash long, word long").join(between, "word").repartition("text_hash")
+    met = met.groupBy("text_hash").agg(F.collect_set(F.struct("word", "n")).alias("met"))
+    return Frequencies(total, known, materialise(met, "rare"))
 
 
 class Shingler:
     """Hashes and weights of a text's shingles, and its signature."""
 
-    def __init__(self, frequencies: dict[int, float], rest: float):
-        self.frequencies, self.rest = frequencies, rest
+    def __init__(self, frequencies: dict[int, float], rest: float, total: int):
+        self.frequencies, self.rest, self.total = frequencies, rest, total
         self.place: dict[str, int] = {}
         self.hash = np.zeros(CACHE_WORDS, np.uint64)
         self.weight = np.zeros(CACHE_WORDS, np.float32)
@@ -92,7 +134,15 @@ class Shingler:
         self.seed = draw.integers(1, 2**63, (BANDS * ROWS, 1), dtype=np.uint64)
         self.odd = draw.integers(1, 2**63, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1)
 
-    def words(self, text: str) -> np.ndarray:
+    def texts(self, batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        """The words of each text of a batch with the columns that `Frequencies.joined` adds."""
+        words, counts = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("words", "counts"))
+        # A word weighs the same in every text, so those of a batch are looked up as one.
+        rare = dict(zip(words.view(np.uint64).tolist(), _weights(counts, self.total).tolist()))
+        for text in texts_of(batch):
+            yield self.words(text, rare)
+
+    def words(self, text: str, rare: dict[int, float]) -> np.ndarray:
         found = WORD.findall(text.lower())
         if len(self.place) + len(found) > len(self.hash):
             self.place.clear()
@@ -100,15 +150,16 @@ class Shingler:
                 self.hash, self.weight = np.zeros(len(found), np.uint64), np.zeros(len(found), np.float32)
         at = list(map(self.place.get, found))
         if None in at:
-            at = [self._learn(w) if i is None else i for w, i in zip(found, at)]
+            at = [self._learn(w, rare) if i is None else i for w, i in zip(found, at)]
         return np.array(at, np.int64)
 
-    def _learn(self, word: str) -> int:
+    def _learn(self, word: str, rare: dict[int, float]) -> int:
         if word in self.place:
             return self.place[word]
         at = self.place[word] = len(self.place)
         hash_ = word_hash(word.encode("utf-8", "surrogatepass"))
-        self.hash[at], self.weight[at] = hash_, self.frequencies.get(hash_, self.rest)
+        known = self.frequencies.get(hash_)
+        self.hash[at], self.weight[at] = hash_, rare.get(hash_, self.rest) if known is None else known
         return at
 
     def shingles(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,15 +208,15 @@ class Shingler:
         return key.view(np.int64).tolist()
 
 
-def sign(docs: DataFrame, frequencies: dict[int, float], rest: float) -> DataFrame:
+def sign(docs: DataFrame, frequencies: Frequencies) -> DataFrame:
     """One written row per document: its key, a hash of its text, a digest of its words, and its bands."""
+    new_shingler = frequencies.shingler()
 
     def run(batches):
-        shingler = Shingler(frequencies, rest)
+        shingler = new_shingler()
         for batch in slices(batches):
             digest, bands = [], []
-            for text in texts_of(batch):
-                words = shingler.words(text)
+            for words in shingler.texts(batch):
                 digest.append(shingler.digest(words))
                 bands.append(shingler.bands(*shingler.shingles(words)))
             yield pa.RecordBatch.from_arrays([
@@ -173,7 +224,7 @@ def sign(docs: DataFrame, frequencies: dict[int, float], rest: float) -> DataFra
                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "digest", "bands"])
 
     rows = key_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
-    signed = rows.mapInArrow(run, "doc_id long, text_hash long, digest binary, bands array<long>")
+    signed = frequencies.joined(rows).mapInArrow(run, "doc_id long, text_hash long, digest binary, bands array<long>")
     return materialise(signed, "signatures")
 
 
@@ -227,23 +278,25 @@ def _links(table: pa.Table, similarity: float) -> pa.Table:
     return pa.table({"a": pa.array(columns[0], pa.binary()), "b": pa.array(columns[1], pa.binary())})
 
 
-def links(docs: DataFrame, signed: DataFrame, groups: DataFrame, frequencies, rest, similarity: float = SIMILARITY) -> DataFrame:
+def links(docs: DataFrame, signed: DataFrame, groups: DataFrame, frequencies: Frequencies, similarity: float = SIMILARITY) -> DataFrame:
     """Edges (a, b) between digests that connect all texts of at least the given similarity that met."""
     sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / F.lit(CHUNK)).cast("int").alias("chunks"))
     one_row = signed.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash")).alias("row"))
-    wanted = (
+    wanted = frequencies.joined(
         groups.join(sizes, "component").join(one_row, F.col("id") == F.col("digest"))
-        .select(F.col("row.doc_id").alias("w_doc_id"), F.col("row.text_hash").alias("w_hash"), "component", "chunks",
+        .select(F.col("row.doc_id").alias("w_doc_id"), F.col("row.text_hash").alias("text_hash"), "component", "chunks",
                 F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int").alias("chunk")))
+    wanted = wanted.withColumnRenamed("text_hash", "w_hash")
     rows = key_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
     rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_doc_id")) & (F.col("text_hash") == F.col("w_hash")))
 
+    new_shingler = frequencies.shingler()
+
     def run(batches):
-        shingler = Shingler(frequencies, rest)
+        shingler = new_shingler()
         for batch in slices(batches):
             digest, hashes, weights, bands = [], [], [], []
-            for text in texts_of(batch):
-                words = shingler.words(text)
+            for words in shingler.texts(batch):
                 hash_, weight = shingler.shingles(words)
                 digest.append(shingler.digest(words))
                 hashes.append(hash_.tobytes())
@@ -254,7 +307,7 @@ def links(docs: DataFrame, signed: DataFrame, groups: DataFrame, frequencies, re
                 pa.array(hashes, pa.binary()), pa.array(weights, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                 names=["component", "chunk", "chunks", "digest", "hashes", "weights", "bands"])
 
-    rows = rows.select("component", "chunk", "chunks", "text").mapInArrow(
+    rows = rows.select("component", "chunk", "chunks", "text", "words", "counts").mapInArrow(
         run, "component binary, chunk int, chunks int, digest binary, hashes binary, weights binary, bands array<long>")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     keys = ["component", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")]
@@ -265,9 +318,9 @@ def links(docs: DataFrame, signed: DataFrame, groups: DataFrame, frequencies, re
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, class_id, kept for every row of `docs`."""
-    frequencies, rest = inverse_frequencies(docs)
-    signed = sign(docs, frequencies, rest)
-    found = links(docs, signed, candidate_groups(signed), frequencies, rest, similarity)
+    frequencies = inverse_frequencies(docs)
+    signed = sign(docs, frequencies)
+    found = links(docs, signed, candidate_groups(signed), frequencies, similarity)
     linked = materialise(connected_components(found), "classes")
     rows = signed.join(linked, F.col("digest") == F.col("id"), "left").select(
         "doc_id", "text_hash", F.coalesce("component", "digest").alias("class"))
