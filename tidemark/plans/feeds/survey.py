@@ -7,6 +7,7 @@ once when they are named to `plans.run.shared_views`.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack, nullcontext
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tidemark.operators.membership import rows_in
 from tidemark.operators.numbering import global_row_number
 from tidemark.operators.projection import not_in, union_all_padded
 from tidemark.operators.registry import KeyRegistry
+from tidemark.workspace import landed
 
 # Fixed values of the three staging tables. The source system is a number in the first, text in the others.
 KEY_LOOKUP = {"B_CLASSNAME": "AttributeKeyLookup", "F_SOURCE_SYSTEM": 41, "F_DATA_OWNERSHIP": 1}
@@ -158,22 +160,23 @@ def key_value_feed(
     The maxima are taken before the join to the assets, which changes nothing, as a repeated row does
     not change a maximum. An asset with very many findings is thus reduced on the map side and spread
     by element and component, and the join moves one row per group. Where several runs take the same findings, their
-    `finding_maxima` can be written once and given to each.
+    `finding_maxima` can be written once and given to each. For row numbers the maxima and then the groups are written, each until
+    the next is, so that no two of the shuffles behind them lie on disk at a time.
     """
     as_of = as_timestamp(as_of)
-    if maxima is None:
-        maxima = finding_maxima(findings, excluded)
-    groups = asset.select("AssetID", "UPRN").distinct().join(maxima, "AssetID")
+    reduced = finding_maxima(findings, excluded) if maxima is None else maxima
+    groups_of = lambda rows: asset.select("AssetID", "UPRN").distinct().join(rows, "AssetID")
     natural = NATURAL_KEY
     key = "PROP_ATTRIBUTE_KEY_VALUE_"
     if registry is not None:
-        keyed = registry.assigned(groups, key, ["UPRN", "SurveyAttributeID"])
+        keyed = registry.assigned(groups_of(reduced), key, ["UPRN", "SurveyAttributeID"])
     elif numbered:
-        keyed = global_row_number(
-            groups, ["UPRN", "SurveyAttributeID"], key, tie_break=natural, distinct_rows=True
-        )
+        with ExitStack() as held:
+            with landed(reduced, "maxima") if maxima is None else nullcontext(maxima) as rows:
+                groups = held.enter_context(landed(groups_of(rows), "groups"))
+            keyed = global_row_number(groups, ["UPRN", "SurveyAttributeID"], key, tie_break=natural, distinct_rows=True)
     else:
-        keyed = groups.withColumn(key, row_hash(*natural))
+        keyed = groups_of(reduced).withColumn(key, row_hash(*natural))
     return keyed.select(
         key,
         F.col("UPRN").alias("F_PROPERTY_ATTRIBUTES"),
